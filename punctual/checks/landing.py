@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 
 from punctual.checks import feeds
 from punctual.operators.clipping import clip_stops
-from punctual.plans.reconstruction import Reconstruction, reconstruct
-from punctual.plans.shared import written_once
+from punctual.plans.reconstruction import Reconstruction
+from punctual.plans.shared import stage_tables, written_once
 from punctual.sources.sinks import replace_days, write_delay_events, write_tables
 from punctual.sources.timetable import Timetable, read_silver_timetable
 
@@ -49,7 +49,8 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reconstruction(
     spark: SparkSession, sf_dir: str, service_dates: tuple[str, ...] = (DAY,)
 ) -> Reconstruction:
-    return reconstruct(timetable(spark, sf_dir), positions(spark, sf_dir), service_dates)
+    feed = timetable(spark, sf_dir)
+    return Reconstruction(feed, positions(spark, sf_dir), service_dates, stage_tables(spark))
 
 
 def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from punctual import schemas
 from punctual.functions.geo import cells_within, grid_cell, haversine_m, reach_lat, reach_lon
 from punctual.functions.measures import delay_minutes
 from punctual.functions.times import is_on_service_day, local_seconds_of_day
-from punctual.operators.skew import salt_copies, salt_rows, with_slices
+from punctual.operators.skew import repeat_for_salts, salt_rows
 from punctual.settings import (
     DELAY_MAX_MINUTES,
     DELAY_MIN_MINUTES,
@@ -57,16 +57,14 @@ def distinct_positions(positions: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def journey_sizes(pings: DataFrame) -> DataFrame:
-    """Distinct journeys with their number of pings `n`, and the `slices` to cut the hot ones into."""
-    return with_slices(pings.groupBy(*OBSERVED_KEY).agg(F.count(F.lit(1)).alias("n")))
-
-
-def observed_journeys(sizes: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
-    """Adds the local second a journey was due to start; those with unreadable times go."""
-    return sizes.withColumn(
-        "journey_origin_sec", local_seconds_of_day(F.col("origin_aimed_departure"), zone)
-    ).where(F.col("journey_origin_sec").isNotNull())
+def observed_journeys(pings: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
+    """Distinct journeys with their number of pings `n` and the local second they were due to start, NULL
+    where that time cannot be read."""
+    return (
+        pings.groupBy(*OBSERVED_KEY)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("journey_origin_sec", local_seconds_of_day(F.col("origin_aimed_departure"), zone))
+    )
 
 
 def nearest_in_band(
@@ -92,21 +90,23 @@ def nearest_in_band(
         raise ValueError("a bucket must be wider than the whole band")
     keys = list(keys)
 
-    wanted = left.select(*keys, F.col(left_value).alias("_v")).distinct()
-    offered = right.groupBy(*keys, F.col(right_value).alias("_v")).agg(F.min(right_id).alias("_id"))
-
     def bucket_of(value):
         return F.floor(value / bucket).cast("int")
 
+    value, band = F.col("_v"), F.lit(tolerance)
+    offered = right.select(*keys, F.col(right_value).alias("_v"), F.col(right_id).alias("_id")).withColumn(
+        "_bucket", F.explode(F.sequence(bucket_of(value - band), bucket_of(value + band)))
+    )
+    wanted = (
+        left.select(*keys, F.col(left_value).alias("_v"))
+        .where(value.isNotNull())
+        .withColumn("_bucket", bucket_of(value))
+    )
     line = (
-        offered.withColumn(
-            "_bucket", F.explode(F.sequence(bucket_of(F.col("_v") - tolerance), bucket_of(F.col("_v") + tolerance)))
-        )
-        .withColumn("_left", F.lit(0))
-        .unionByName(
-            wanted.withColumn("_bucket", bucket_of(F.col("_v"))).withColumn("_left", F.lit(1)),
-            allowMissingColumns=True,
-        )
+        offered.withColumn("_left", F.lit(0))
+        .unionByName(wanted.withColumn("_left", F.lit(1)), allowMissingColumns=True)
+        .groupBy(*keys, "_bucket", "_v", "_left")
+        .agg(F.min("_id").alias("_id"))
     )
     here = Window.partitionBy(*keys, "_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offer = F.when(F.col("_left") == 0, F.struct("_v", "_id"))
@@ -187,24 +187,24 @@ def snap_within(
 
 def snap_candidates(
     pings: DataFrame,
-    sizes: DataFrame,
     pinned: DataFrame,
     visits: DataFrame,
+    hot: DataFrame | None = None,
     radius_m: float = SNAP_RADIUS_M,
     cell_deg: float = 0.01,
 ) -> DataFrame:
     """Pings of pinned journeys near a stop of the journey's trip.
 
-    The stops are hung on the journeys first. So the pings, by far the largest table, are shuffled once,
-    and journeys with an outsized share of all pings are sliced on the way.
+    The stops are hung on the journeys first. So the pings, by far the largest table, are shuffled once.
+    `hot` (see `operators.skew`) names journeys with an outsized share of all pings, which are sliced.
     """
-    sites = (
-        pinned.join(visits, "trip_id")
-        .withColumn("salt", F.explode(salt_copies(F.col("slices"))))
-        .select(*OBSERVED_KEY, "trip_id", "direction_id", "stop_id", "stop_lat", "stop_lon", "call", "salt")
-    )
-    salted = salt_rows(pings, sizes.where("slices > 1"), OBSERVED_KEY)
-    return snap_within(salted, sites, [*OBSERVED_KEY, "salt"], radius_m, cell_deg)
+    keys = list(OBSERVED_KEY)
+    sites = pinned.select(*keys, "trip_id", "direction_id").join(visits, "trip_id")
+    if hot is not None:
+        pings = salt_rows(pings, hot, keys)
+        sites = repeat_for_salts(sites, hot, keys)
+        keys = [*keys, "salt"]
+    return snap_within(pings, sites, keys, radius_m, cell_deg)
 
 
 def nearest_pings(candidates: DataFrame) -> DataFrame:

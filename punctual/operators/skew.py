@@ -2,39 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot if it holds more than one part in HOT_PARTS of all rows; it is cut into slices that each
-# hold about that much. At most HOT_PARTS - 1 keys can be hot at once, whatever the size of the data.
+# hold about that much. Fewer than HOT_PARTS keys can be hot at once, whatever the size of the data.
 HOT_PARTS = 1000
 
 
-def with_slices(counts: DataFrame, rows: str = "n", parts: int = HOT_PARTS) -> DataFrame:
-    """Adds `slices`: how many tasks should share the rows of each key (1 unless the key is hot)."""
-    total = counts.agg(F.sum(rows)).scalar()
-    return counts.withColumn(
-        "slices", F.greatest(F.lit(1), F.ceil(F.col(rows) * F.lit(parts) / total)).cast("int")
-    )
+def hot_keys(sizes: DataFrame, keys: list[str], rows: str = "n", parts: int = HOT_PARTS) -> DataFrame | None:
+    """The hot keys with the number of `slices` for each; None if no key is hot.
+
+    `sizes` has one row per key with its number of rows. A small job reads it for the total and the
+    maximum; give it a stored table.
+    """
+    total, largest = sizes.agg(F.sum(rows), F.max(rows)).first()
+    if not total or largest * parts <= total:
+        return None
+    share = F.ceil(F.col(rows) * F.lit(parts) / F.lit(total)).cast("int")
+    return sizes.where(F.col(rows) * F.lit(parts) > F.lit(total)).select(*keys, share.alias("slices"))
 
 
 def salt_rows(rows: DataFrame, hot: DataFrame, keys: list[str], salt: str = "salt") -> DataFrame:
-    """Gives each row of a hot key one of its `slices`, and 0 to all others.
+    """Gives each row of a hot key one of its slices, and 0 to all others.
 
-    `hot` is the result of `with_slices` where `slices > 1`, so fewer than HOT_PARTS rows: that bound
-    makes the broadcast safe. Slices are dealt by row number, not by content: copies of one row spread too.
+    `hot` comes from `hot_keys`, so it has fewer than HOT_PARTS rows: that bound makes the broadcast safe.
+    Slices are dealt by row number, not by content, so that copies of one row spread too.
     """
     return (
         rows.withColumn("_row", F.monotonically_increasing_id())
-        .join(F.broadcast(hot.select(*keys, "slices")), keys, "left")
+        .join(F.broadcast(hot), keys, "left")
         .withColumn(salt, F.coalesce(F.pmod("_row", "slices"), F.lit(0)).cast("int"))
         .drop("_row", "slices")
     )
 
 
-def salt_copies(slices: Column) -> Column:
-    """The salts a row of the other side must be repeated for; to be exploded."""
-    return F.sequence(F.lit(0), slices - 1)
+def repeat_for_salts(rows: DataFrame, hot: DataFrame, keys: list[str], salt: str = "salt") -> DataFrame:
+    """The other side of the join: each row of a hot key once per slice."""
+    slices = F.coalesce(F.col("slices"), F.lit(1))
+    return (
+        rows.join(F.broadcast(hot), keys, "left")
+        .withColumn(salt, F.explode(F.sequence(F.lit(0), slices - 1)))
+        .drop("slices")
+    )
 
 
 def broadcast_within(side: DataFrame, max_rows: int) -> DataFrame:

@@ -1,17 +1,17 @@
-"""From a timetable and vehicle positions to delay events, all service dates in one plan."""
+"""From a timetable and vehicle positions to delay events, all service dates in one run."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from punctual.operators.calendar import active_services
 from punctual.operators.cleaning import drop_incoherent
 from punctual.operators.matching import (
+    OBSERVED_KEY,
     clamp_delays,
-    journey_sizes,
     nearest_pings,
     observed_journeys,
     observed_pings,
@@ -27,54 +27,75 @@ from punctual.operators.schedule import (
     trip_schedule,
     with_call,
 )
+from punctual.operators.skew import hot_keys
+from punctual.plans.shared import Stage, keep_lazy
 from punctual.sources.timetable import Timetable
 
 
-@dataclass(frozen=True)
 class Reconstruction:
-    """The intermediate tables of a reconstruction, each lazy and usable on its own."""
-
-    active: DataFrame
-    schedule: DataFrame
-    departures: DataFrame
-    pings: DataFrame
-    journeys: DataFrame
-    pinned: DataFrame
-    candidates: DataFrame
-    snapped: DataFrame
-    events: DataFrame
-    delay_events: DataFrame
-
-
-def reconstruct(feed: Timetable, positions: DataFrame, service_dates: Sequence[str]) -> Reconstruction:
-    """`feed` holds the stops of the area only (see `operators.clipping`)."""
-    active = active_services(feed.calendar, feed.calendar_dates, service_dates)
-    directory = trip_directory(feed.trips, feed.routes, feed.agency)
-    calls = located_calls(feed.stop_times, feed.stops)
-    visits = first_visits(calls)
-    starts = departures(trip_origins(visits), directory, active)
-
-    pings = observed_pings(positions, service_dates)
-    sizes = journey_sizes(pings)
-    journeys = observed_journeys(sizes)
-    pinned = pin_journeys(journeys, starts)
-
-    candidates = snap_candidates(pings, sizes, pinned, visits)
-    snapped = with_call(nearest_pings(candidates))
-    events = clamp_delays(snapped)
-    return Reconstruction(
-        active=active,
-        schedule=trip_schedule(calls, directory, active),
-        departures=starts,
-        pings=pings,
-        journeys=journeys,
-        pinned=pinned,
-        candidates=candidates,
-        snapped=snapped,
-        events=events,
-        delay_events=drop_incoherent(events),
-    )
-
-
-def delay_events(feed: Timetable, positions: DataFrame, service_dates: Sequence[str]) -> DataFrame:
-    return reconstruct(feed, positions, service_dates).delay_events
+    """The steps of a reconstruction, each built when it is first asked for.
+
+    `feed` holds the stops of the area only (see `operators.clipping`). Tables that more than one later
+    step reads go through `stage`: `plans.shared.stage_tables` stores them, the default keeps one lazy plan.
+    """
+
+    def __init__(
+        self, feed: Timetable, positions: DataFrame, service_dates: Sequence[str], stage: Stage = keep_lazy
+    ):
+        self.feed = feed
+        self.positions = positions
+        self.service_dates = list(service_dates)
+        self.stage = stage
+
+    @cached_property
+    def active(self) -> DataFrame:
+        return active_services(self.feed.calendar, self.feed.calendar_dates, self.service_dates)
+
+    @cached_property
+    def directory(self) -> DataFrame:
+        return trip_directory(self.feed.trips, self.feed.routes, self.feed.agency)
+
+    @cached_property
+    def calls(self) -> DataFrame:
+        return located_calls(self.feed.stop_times, self.feed.stops)
+
+    @cached_property
+    def schedule(self) -> DataFrame:
+        return trip_schedule(self.calls, self.directory, self.active)
+
+    @cached_property
+    def visits(self) -> DataFrame:
+        return self.stage(first_visits(self.calls), "visits")
+
+    @cached_property
+    def departures(self) -> DataFrame:
+        return departures(trip_origins(self.visits), self.directory, self.active)
+
+    @cached_property
+    def pings(self) -> DataFrame:
+        return observed_pings(self.positions, self.service_dates)
+
+    @cached_property
+    def journeys(self) -> DataFrame:
+        return self.stage(observed_journeys(self.pings), "journeys")
+
+    @cached_property
+    def pinned(self) -> DataFrame:
+        return self.stage(pin_journeys(self.journeys, self.departures), "pinned")
+
+    @cached_property
+    def candidates(self) -> DataFrame:
+        hot = hot_keys(self.journeys, OBSERVED_KEY)
+        return snap_candidates(self.pings, self.pinned, self.visits, hot)
+
+    @cached_property
+    def snapped(self) -> DataFrame:
+        return with_call(nearest_pings(self.candidates))
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return self.stage(clamp_delays(self.snapped), "events")
+
+    @cached_property
+    def delay_events(self) -> DataFrame:
+        return drop_incoherent(self.events)

@@ -1,6 +1,7 @@
-"""Tables that several jobs of one application share, kept in the cluster's shared folder.
+"""Tables that outlive the plan that made them, kept in the cluster's shared folder.
 
-Writing a table cuts lineage and survives the loss of executors, which cached blocks do not.
+Writing a table cuts the lineage, survives the loss of executors (cached blocks do not), and tells the
+planner the true size of what it reads next, so that it broadcasts what is small and only that.
 """
 
 from __future__ import annotations
@@ -8,41 +9,56 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+Stage = Callable[[DataFrame, str], DataFrame]
+
 _lock = threading.RLock()
-_written: dict[str, bool] = {}
+_written: set[str] = set()
 _own_folder: str | None = None
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session. Only a local session without one gets a folder of its own."""
+    """This application's part of `spark.checkpoint.dir`.
+
+    Only a local session without that setting gets a folder of its own.
+    """
     global _own_folder
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if _own_folder is None:
-        _own_folder = tempfile.mkdtemp(prefix="run-")
-    return _own_folder
-
-
-def shared_path(spark: SparkSession, source: str, name: str) -> str:
-    """Where the table `name` derived from `source` lives for this application."""
-    origin = hashlib.md5(source.encode()).hexdigest()[:12]
-    return f"{shared_folder(spark)}/punctual-{spark.sparkContext.applicationId}/{origin}/{name}"
-
-
-def written_once(
-    spark: SparkSession, source: str, name: str, write: Callable[[str], None]
-) -> str:
-    """The path of a shared table; `write(path)` is called if this application has not written it yet."""
-    path = shared_path(spark, source, name)
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        with _lock:
+            _own_folder = _own_folder or tempfile.mkdtemp(prefix="run-")
+        named = _own_folder
+    return f"{named.rstrip('/')}/punctual-{spark.sparkContext.applicationId}"
+
+
+def written_once(spark: SparkSession, source: str, name: str, write: Callable[[str], None]) -> str:
+    """The path of the table `name` derived from `source`; `write(path)` runs unless this application
+    has written it already."""
+    path = f"{shared_folder(spark)}/{hashlib.md5(source.encode()).hexdigest()[:12]}/{name}"
     with _lock:
         if path not in _written:
             write(path)
-            _written[path] = True
+            _written.add(path)
     return path
+
+
+def stage_tables(spark: SparkSession) -> Stage:
+    """A function that stores an intermediate table under a fresh path and reads it back."""
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+    def stage(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
+    return stage
+
+
+def keep_lazy(rows: DataFrame, name: str) -> DataFrame:
+    """The stage that stores nothing: one plan from end to end, fit for small inputs."""
+    return rows
