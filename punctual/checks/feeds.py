@@ -154,3 +154,86 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "day.source_date",
         )
     )
+
+
+def customer_calendar(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A calendar that grows with the data: one service per customer, one exception per event."""
+    n = F.count(F.lit(1))
+    start = F.date_add(F.lit("2023-12-20").cast("date"), n.cast("int"))
+    end = F.date_add(F.lit("2023-12-20").cast("date"), (n + F.sum("o_orderkey") % 40).cast("int"))
+    weekdays = ["monday", "tuesday", "wednesday"]
+    calendar = (
+        read_table(spark, sf_dir, "orders")
+        .groupBy(F.col("o_custkey").alias("service_id"))
+        .agg(F.date_format(start, "yyyyMMdd").alias("start_date"), F.date_format(end, "yyyyMMdd").alias("end_date"))
+        .select(
+            "*",
+            *(F.when((F.col("service_id") + i) % 3 != 0, "1").otherwise("0").alias(d) for i, d in enumerate(weekdays)),
+        )
+    )
+    exceptions = read_table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("service_id"),
+        F.date_format("ts", "yyyyMMdd").alias("date"),
+        F.when(F.col("event_id") % 3 == 0, "2").otherwise("1").alias("exception_type"),
+    )
+    return calendar, exceptions
+
+
+def repeated_snapshots(positions: DataFrame, day: str) -> DataFrame:
+    """The positions of one day as two snapshots in a row report them."""
+    one = positions.where(F.col("source_date") == day)
+    return one.withColumn("snapshot_file", F.lit("1.zip")).union(one.withColumn("snapshot_file", F.lit("2.zip")))
+
+
+ACTIVITIES_PER_DOCUMENT = 40
+
+
+def as_documents(positions: DataFrame) -> DataFrame:
+    """The positions as XML documents of 40 each, every position followed by an activity without a place;
+    then all documents again, damaged in one way or another."""
+
+    def tag(name: str, *content) -> Column:
+        return F.concat(F.lit(f"<{name}>"), *content, F.lit(f"</{name}>"))
+
+    place = tag(
+        "VehicleLocation",
+        tag("Longitude", F.col("longitude").cast("string")),
+        tag("Latitude", F.col("latitude").cast("string")),
+    )
+    journey = [
+        tag("LineRef", F.col("line_ref")),
+        tag("OperatorRef", F.col("operator_ref")),
+        tag("OriginAimedDepartureTime", F.col("origin_aimed_departure")),
+        tag("VehicleRef", F.col("vehicle_ref")),
+    ]
+    when = tag("RecordedAtTime", F.col("recorded_at"))
+    activities = F.concat(
+        tag("VehicleActivity", when, tag("MonitoredVehicleJourney", *journey, place)),
+        tag("VehicleActivity", when, tag("MonitoredVehicleJourney", *journey)),
+    )
+    opening = F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<Siri xmlns="http://www.siri.org.uk/siri">')
+    documents = (
+        positions.select("source_date", activities.alias("activities"), F.monotonically_increasing_id().alias("row"))
+        .groupBy("source_date", F.floor(F.col("row") / ACTIVITIES_PER_DOCUMENT).alias("number"))
+        .agg(F.array_join(F.collect_list("activities"), "").alias("activities"))
+        .select(
+            "source_date",
+            "number",
+            F.concat(
+                opening, F.lit("<ServiceDelivery><VehicleMonitoringDelivery>"), F.col("activities"),
+                F.lit("</VehicleMonitoringDelivery></ServiceDelivery></Siri>"),
+            ).alias("xml"),
+        )
+    )
+    prefixed = F.regexp_replace(F.regexp_replace("xml", r"<(/?)(\w)", "<$1s:$2"), "xmlns=", "xmlns:s=")
+    kind = F.col("number") % 5
+    sound = documents.withColumn("xml", F.when(F.col("number") % 3 == 0, prefixed).otherwise(F.col("xml")))
+    damaged = documents.withColumn(
+        "xml",
+        F.when(kind == 0, F.lit(""))
+        .when(kind == 1, F.expr("substring(xml, 1, length(xml) - 12)"))
+        .when(kind == 2, F.replace(F.col("xml"), F.lit("</ServiceDelivery>"), F.lit("</Service>")))
+        .when(kind == 3, F.replace(F.col("xml"), F.lit("http://www.siri.org.uk/siri"), F.lit("urn:other")))
+        .otherwise(F.lit("this is not XML")),
+    )
+    return sound.union(damaged).select("source_date", "xml")

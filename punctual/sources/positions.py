@@ -39,12 +39,12 @@ ACTIVITY_FIELDS = {
     "longitude": "MonitoredVehicleJourney.VehicleLocation.Longitude",
     "latitude": "MonitoredVehicleJourney.VehicleLocation.Latitude",
 }
-ACTIVITY_SCHEMA = (
-    "RecordedAtTime string, MonitoredVehicleJourney struct<"
+ACTIVITIES_SCHEMA = (
+    "VehicleActivity array<struct<RecordedAtTime: string, MonitoredVehicleJourney: struct<"
     "LineRef: string, DirectionRef: string, OperatorRef: string, OriginRef: string, "
     "DestinationRef: string, OriginAimedDepartureTime: string, VehicleRef: string, "
     "FramedVehicleJourneyRef: struct<DataFrameRef: string, DatedVehicleJourneyRef: string>, "
-    "VehicleLocation: struct<Longitude: string, Latitude: string>>"
+    "VehicleLocation: struct<Longitude: string, Latitude: string>>>>"
 )
 
 
@@ -144,19 +144,22 @@ def explode_activities(documents: DataFrame, xml: str = "xml", area: Area = GREA
     """One row per vehicle activity inside the area; all columns but the document are kept.
 
     Tolerant: an empty or malformed document gives nothing, nor does an activity without a usable place;
-    any other absent element is NULL. Activities are found at any depth.
+    any other absent element is NULL. Activities are found at any depth: they are cut out of the document
+    and parsed together, since the parser is costly to start.
     """
     kept = [c for c in documents.columns if c != xml]
-    whole = (
+    activity = F.lit(r"(?s)<VehicleActivity(?:\s[^>]*[^>/])?>.*?</VehicleActivity\s*>")
+    cut_out = F.concat(
+        F.lit("<all>"), F.array_join(F.regexp_extract_all("_text", activity, F.lit(0)), ""), F.lit("</all>")
+    )
+    parsed = (
         documents.where(F.contains(F.col(xml), F.lit(NAMESPACE)))
         .withColumn("_text", _plain_tags(F.col(xml)))
         # Text after the root element goes unnoticed by the parser, hence the look at the end.
         .where(F.right("_text", F.lit(256)).rlike(r"</[^<>]+>\s*$"))
         .where(F.from_xml("_text", "_corrupt_record string")["_corrupt_record"].isNull())
+        .select(*kept, F.explode(F.from_xml(cut_out, ACTIVITIES_SCHEMA)["VehicleActivity"]).alias("_a"))
     )
-    pattern = F.lit(r"(?s)<VehicleActivity(?:\s[^>]*[^>/])?>.*?</VehicleActivity\s*>")
-    activity = whole.select(*kept, F.explode(F.regexp_extract_all("_text", pattern, F.lit(0))).alias("_one"))
-    parsed = activity.select(*kept, F.from_xml("_one", ACTIVITY_SCHEMA).alias("_a"))
     columns = {name: F.col(f"_a.{where}") for name, where in ACTIVITY_FIELDS.items()}
     for axis in ("longitude", "latitude"):
         columns[axis] = columns[axis].try_cast("double")
