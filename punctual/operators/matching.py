@@ -34,6 +34,7 @@ def observed_pings(
     """
     return (
         positions.where(F.col("source_date").isin(*service_dates))
+        .where("operator_ref is not null and line_ref is not null and origin_aimed_departure is not null")
         .where(is_on_service_day(F.col("recorded_at"), F.col("source_date"), zone))
         .select(
             F.col("source_date").alias("service_date"),
@@ -45,7 +46,6 @@ def observed_pings(
             "latitude",
             "longitude",
         )
-        .dropna(subset=["operator", "line", "origin_aimed_departure"])
     )
 
 
@@ -204,7 +204,7 @@ def snap_candidates(
         pings = salt_rows(pings, hot, keys)
         sites = repeat_for_salts(sites, hot, keys)
         keys = [*keys, "salt"]
-    return snap_within(pings, sites, keys, radius_m, cell_deg)
+    return snap_within(pings, sites, keys, radius_m, cell_deg).drop("salt")
 
 
 def nearest_pings(candidates: DataFrame) -> DataFrame:

@@ -152,15 +152,17 @@ def explode_activities(documents: DataFrame, xml: str = "xml", area: Area = GREA
     cut_out = F.concat(
         F.lit("<all>"), F.array_join(F.regexp_extract_all("_text", activity, F.lit(0)), ""), F.lit("</all>")
     )
+    document = F.col(xml)
     parsed = (
-        documents.where(F.contains(F.col(xml), F.lit(NAMESPACE)))
-        .withColumn("_text", _plain_tags(F.col(xml)))
+        documents.where(F.contains(document, F.lit(NAMESPACE)))
         # Text after the root element goes unnoticed by the parser, hence the look at the end.
-        .where(F.right("_text", F.lit(256)).rlike(r"</[^<>]+>\s*$"))
-        .where(F.from_xml("_text", "_corrupt_record string")["_corrupt_record"].isNull())
+        .where(F.right(document, F.lit(1024)).rlike(r"(?s)</[^<>]+>\s*(?:<!--.*?-->\s*)*$"))
+        .where(F.from_xml(document, "_corrupt_record string")["_corrupt_record"].isNull())
+        .withColumn("_text", _plain_tags(document))
         .select(*kept, F.explode(F.from_xml(cut_out, ACTIVITIES_SCHEMA)["VehicleActivity"]).alias("_a"))
     )
-    columns = {name: F.col(f"_a.{where}") for name, where in ACTIVITY_FIELDS.items()}
+    # An empty element is an absent value.
+    columns = {name: F.nullif(F.col(f"_a.{where}"), F.lit("")) for name, where in ACTIVITY_FIELDS.items()}
     for axis in ("longitude", "latitude"):
         columns[axis] = columns[axis].try_cast("double")
     return parsed.select(*kept, *(value.alias(name) for name, value in columns.items())).where(
