@@ -43,7 +43,7 @@ def active_services(
         F.col("date").alias("service_date"), "service_id", "exception_type"
     )
     added = changes.where(F.col("exception_type") == ADDED).drop("exception_type")
-    removed = changes.where(F.col("exception_type") == REMOVED).drop("exception_type")
+    removed = changes.where(F.col("exception_type") == REMOVED).drop("exception_type").distinct()
     return (
         regular.union(added).distinct().join(removed, ["service_date", "service_id"], "left_anti")
     )

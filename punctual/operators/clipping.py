@@ -23,12 +23,13 @@ def clip_timetable(feed: Timetable, area: Area = GREATER_MANCHESTER) -> Timetabl
     """Stops in the area, calls at them, trips that make such a call, routes of such trips.
 
     Semi joins throughout, without hints: the id sets grow with the feed, and Spark broadcasts those that
-    turn out small.
+    turn out small. Ids are made distinct first, so that a trip with a large share of all calls travels as
+    one row per task.
     """
     stops = clip_stops(feed.stops, area)
     stop_times = feed.stop_times.join(stops.select("stop_id"), "stop_id", "left_semi")
-    trips = feed.trips.join(stop_times.select("trip_id"), "trip_id", "left_semi")
-    routes = feed.routes.join(trips.select("route_id"), "route_id", "left_semi")
+    trips = feed.trips.join(stop_times.select("trip_id").distinct(), "trip_id", "left_semi")
+    routes = feed.routes.join(trips.select("route_id").distinct(), "route_id", "left_semi")
     return replace(feed, stops=stops, stop_times=stop_times, trips=trips, routes=routes)
 
 

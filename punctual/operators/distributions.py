@@ -13,18 +13,43 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctual.functions.measures import delay_seconds, mean_delay, round_half_away
+from punctual.functions.measures import delay_seconds, round_half_away
 from punctual.settings import SUMMARY_ON_TIME_MINUTES, SUMMARY_TAIL_MINUTES
 
 FEATURES = ["delay_min", "stop_sequence", "sched_hour", "stop_lat", "stop_lon", "direction_id"]
 
 
+def _ranked_seconds(events: DataFrame) -> DataFrame:
+    """Each second of delay with its count `n`, the running count `cum`, the total `total` and the mean
+    second `centre`."""
+    counted = events.groupBy(delay_seconds(F.col("delay_min")).alias("sec")).agg(F.count(F.lit(1)).alias("n"))
+    # One row per distinct second: small enough for one task by construction.
+    everything = Window.partitionBy(F.lit(0))
+    return (
+        counted.where(F.col("sec").isNotNull())
+        .withColumn("cum", F.sum("n").over(everything.orderBy("sec")))
+        .withColumn("total", F.sum("n").over(everything))
+        .withColumn("centre", F.sum(F.col("n") * F.col("sec")).over(everything) / F.col("total"))
+    )
+
+
 def _quantile(q: float) -> Column:
-    """Aggregate: exact quantile of the delay in minutes, an element of the data.
+    """Aggregate over ranked seconds: the delay in minutes at rank ceil(q·n), an element of the data."""
+    return F.min(F.when(F.col("cum") >= F.col("total") * F.lit(q), F.col("sec"))) / F.lit(60.0)
 
-    Its buffer holds each distinct second once, so the range of delays bounds it.
-    """
-    return F.expr(f"percentile_disc({q!r}) within group (order by round(delay_min * 60))") / F.lit(60.0)
+
+def _moment(k: int) -> Column:
+    """Aggregate over ranked seconds: the k-th central moment, in minutes to the k."""
+    return F.sum(F.col("n") * F.pow((F.col("sec") - F.col("centre")) / 60.0, F.lit(float(k)))) / F.sum("n")
+
+
+def _mean() -> Column:
+    return F.sum(F.col("n") * F.col("sec")) / F.lit(60.0) / F.sum("n")
+
+
+def _sample_std() -> Column:
+    n = F.sum("n")
+    return F.when(n > 1, F.sqrt(_moment(2) * n / (n - 1)))
 
 
 def delay_run_summary(
@@ -33,14 +58,14 @@ def delay_run_summary(
     tail_min: float = SUMMARY_TAIL_MINUTES,
 ) -> DataFrame:
     """One row printed after a reconstruction. Its on-time window is not that of the reliability metric."""
-    delay = F.col("delay_min")
-    n = F.nullif(F.count(F.lit(1)), F.lit(0))
-    inside, beyond = F.count_if(delay.between(*on_time)), F.count_if(delay > tail_min)
-    return events.agg(
-        F.count(F.lit(1)).alias("events"),
-        round_half_away(mean_delay(delay), 2).alias("mean_delay_min"),
+    delay, n = F.col("sec") / F.lit(60.0), F.sum("n")
+    inside = F.coalesce(F.sum(F.when(delay.between(*on_time), F.col("n"))), F.lit(0))
+    beyond = F.coalesce(F.sum(F.when(delay > tail_min, F.col("n"))), F.lit(0))
+    return _ranked_seconds(events).agg(
+        F.coalesce(n, F.lit(0)).alias("events"),
+        round_half_away(_mean(), 2).alias("mean_delay_min"),
         round_half_away(_quantile(0.5), 2).alias("median_delay_min"),
-        round_half_away(F.stddev_samp(delay), 2).alias("std_delay_min"),
+        round_half_away(_sample_std(), 2).alias("std_delay_min"),
         round_half_away(F.min(delay), 2).alias("min_delay_min"),
         round_half_away(F.max(delay), 2).alias("max_delay_min"),
         inside.alias("on_time"),
@@ -53,20 +78,21 @@ def delay_run_summary(
 def describe_delay(events: DataFrame) -> DataFrame:
     """One row of descriptive statistics. Skewness and kurtosis are those of a population, kurtosis in
     excess of the normal distribution's."""
-    delay = F.col("delay_min")
+    varies = _moment(2) > 0
     stats = {
-        "mean": mean_delay(delay),
+        "mean": _mean(),
         "median": _quantile(0.5),
-        "std": F.stddev_samp(delay),
-        "skewness": F.skewness(delay),
-        "kurtosis": F.kurtosis(delay),
+        "std": _sample_std(),
+        "skewness": F.when(varies, _moment(3) / F.pow(_moment(2), F.lit(1.5))),
+        "kurtosis": F.when(varies, _moment(4) / F.pow(_moment(2), F.lit(2.0)) - 3.0),
         "q1": _quantile(0.25),
         "q3": _quantile(0.75),
-        "min": F.min(delay),
-        "max": F.max(delay),
+        "min": F.min("sec") / F.lit(60.0),
+        "max": F.max("sec") / F.lit(60.0),
     }
-    return events.agg(
-        F.count(delay).alias("n"), *(round_half_away(value, 3).alias(name) for name, value in stats.items())
+    return _ranked_seconds(events).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        *(round_half_away(value, 3).alias(name) for name, value in stats.items()),
     )
 
 

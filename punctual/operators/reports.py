@@ -173,3 +173,12 @@ def events_lookup(
         .select("line", "trip_id", "stop_name", "stop_sequence", "delay_min")
         .orderBy("trip_id", "stop_sequence")
     )
+
+
+def preview(events: DataFrame, n: int = 8) -> DataFrame:
+    """The first rows in a fixed order, to look at."""
+    return (
+        events.orderBy("service_date", "operator", "line", "trip_id", "stop_sequence", "vehicle_ref", "origin_aimed_departure")
+        .select("operator", "line", "trip_id", "stop_sequence", "dist_m", "delay_min")
+        .limit(n)
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -81,6 +82,9 @@ class Reconstruction:
 
     @cached_property
     def pinned(self) -> DataFrame:
+        # Neither of the two needs the other, so their jobs may share the cluster.
+        with ThreadPoolExecutor(2) as pool:
+            list(pool.map(lambda name: getattr(self, name), ("visits", "journeys")))
         return self.stage(pin_journeys(self.journeys, self.departures), "pinned")
 
     @cached_property
