@@ -108,12 +108,13 @@ def nearest_in_band(
         .groupBy(*keys, "_bucket", "_v", "_left")
         .agg(F.min("_id").alias("_id"))
     )
-    here = Window.partitionBy(*keys, "_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offer = F.when(F.col("_left") == 0, F.struct("_v", "_id"))
-    # At equal times the offers (0) come before the left rows (1), so that each direction sees them.
-    looked = line.withColumn(
-        "_before", F.last(offer, ignorenulls=True).over(here.orderBy("_v", "_left"))
-    ).withColumn("_after", F.last(offer, ignorenulls=True).over(here.orderBy(F.desc("_v"), "_left")))
+    # At equal times the offer (0) comes before the left row (1), which therefore finds it behind itself.
+    along = Window.partitionBy(*keys, "_bucket").orderBy("_v", "_left")
+    looked = (
+        line.withColumn("_offer", F.when(F.col("_left") == 0, F.struct("_v", "_id")))
+        .withColumn("_before", F.expr("lag(_offer) ignore nulls").over(along))
+        .withColumn("_after", F.expr("lead(_offer) ignore nulls").over(along))
+    )
 
     def as_match(side):
         gap = F.abs(F.col("_v") - side["_v"])

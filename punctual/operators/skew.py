@@ -27,13 +27,17 @@ def salt_rows(rows: DataFrame, hot: DataFrame, keys: list[str], salt: str = "sal
     """Gives each row of a hot key one of its slices, and 0 to all others.
 
     `hot` comes from `hot_keys`, so it has fewer than HOT_PARTS rows: that bound makes the broadcast safe.
-    Slices are dealt by row number, not by content, so that copies of one row spread too.
+    The slice follows from the row's content and the partition it is in. Copies of one row, which a digest
+    alone would keep together, spread with the partitions; and a task that runs again after a lost executor
+    deals its rows the same way, in whatever order it meets them, which a running number would not.
     """
+    content = F.xxhash64(*(c for c in rows.columns if c not in keys))
+    step = F.spark_partition_id().cast("bigint") * F.lit(7919)
     return (
-        rows.withColumn("_row", F.monotonically_increasing_id())
+        rows.withColumn("_deal", F.pmod(content, F.lit(1 << 40)) + step)
         .join(F.broadcast(hot), keys, "left")
-        .withColumn(salt, F.coalesce(F.pmod("_row", "slices"), F.lit(0)).cast("int"))
-        .drop("_row", "slices")
+        .withColumn(salt, F.coalesce(F.pmod("_deal", "slices"), F.lit(0)).cast("int"))
+        .drop("_deal", "slices")
     )
 
 

@@ -118,7 +118,7 @@ def load_star(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     stage = stage_tables(spark)
     staged = {name: stage(rows, name) for name, rows in tables.items()}
     quality.require_clean(star_violations(staged))
-    sinks.write_tables(staged, lake.star)
+    sinks.write_tables(staged, lake.star, at_once=1)
     return {name: spark.read.parquet(f"{lake.star}/{name}") for name in staged}
 
 

@@ -11,6 +11,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even where that costs one more exchange for the aggregate above it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash the smaller side of a shuffled join instead of sorting both, where every part of it was measured
+    # to be this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.parquet.filterPushdown": "true",
 }
 

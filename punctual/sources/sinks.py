@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -10,10 +11,14 @@ from pyspark.sql import types as T
 from punctual import schemas
 
 
-def write_tables(tables: Mapping[str, DataFrame], directory: str) -> None:
-    """Full refresh, one Parquet directory per table."""
-    for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{directory}/{name}")
+def write_tables(tables: Mapping[str, DataFrame], directory: str, at_once: int = 4) -> None:
+    """Full refresh, one Parquet directory per table. The jobs are independent and share the cluster."""
+
+    def write(name: str) -> None:
+        tables[name].write.mode("overwrite").parquet(f"{directory}/{name}")
+
+    with ThreadPoolExecutor(at_once) as pool:
+        list(pool.map(write, tables))
 
 
 def write_delay_events(events: DataFrame, path: str) -> None:
