@@ -44,20 +44,28 @@ def test_undeclared_csv_is_all_text(spark, tmp_path):
 # ------------------------------------------------------------------------------------------- positions
 
 
+def element(name, content, prefix=""):
+    """XML of nested (name, content) pairs, every tag with the prefix."""
+    tag = f"{prefix}:{name}" if prefix else name
+    inner = content if isinstance(content, str) else "".join(element(n, c, prefix) for n, c in content)
+    return f"<{tag}>{inner}</{tag}>"
+
+
 def siri(lat=53.477, lon=-2.230, place=True, prefix="", namespace=NS):
-    p = f"{prefix}:" if prefix else ""
-    where = f"<{p}VehicleLocation><{p}Longitude>{lon}</{p}Longitude><{p}Latitude>{lat}</{p}Latitude></{p}VehicleLocation>"
-    xmlns = f"xmlns:{prefix}" if prefix else "xmlns"
-    return (
-        f'<{p}Siri {xmlns}="{namespace}"><{p}ServiceDelivery><{p}VehicleMonitoringDelivery><{p}VehicleActivity>'
-        f"<{p}RecordedAtTime>2026-07-01T09:00:00+00:00</{p}RecordedAtTime><{p}MonitoredVehicleJourney>"
-        f"<{p}LineRef>42</{p}LineRef><{p}DirectionRef>inbound</{p}DirectionRef><{p}OperatorRef>TEST</{p}OperatorRef>"
-        f"<{p}FramedVehicleJourneyRef><{p}DataFrameRef>2026-07-01</{p}DataFrameRef>"
-        f"<{p}DatedVehicleJourneyRef>VJ_1</{p}DatedVehicleJourneyRef></{p}FramedVehicleJourneyRef>"
-        f"<{p}OriginAimedDepartureTime>2026-07-01T08:30:00+00:00</{p}OriginAimedDepartureTime>"
-        f"{where if place else ''}<{p}VehicleRef>BUS1</{p}VehicleRef></{p}MonitoredVehicleJourney></{p}VehicleActivity>"
-        f"</{p}VehicleMonitoringDelivery></{p}ServiceDelivery></{p}Siri>"
-    )
+    journey = [
+        ("OperatorRef", "ACME"),
+        ("LineRef", "X5"),
+        ("DirectionRef", "outbound"),
+        ("VehicleRef", "BUS-7"),
+        ("OriginAimedDepartureTime", "2026-07-01T08:30:00+00:00"),
+        ("FramedVehicleJourneyRef", [("DatedVehicleJourneyRef", "J77"), ("DataFrameRef", "2026-07-01")]),
+    ]
+    if place:
+        journey.append(("VehicleLocation", [("Latitude", str(lat)), ("Longitude", str(lon))]))
+    activity = [("MonitoredVehicleJourney", journey), ("RecordedAtTime", "2026-07-01T09:00:00+00:00")]
+    root = [("ServiceDelivery", [("VehicleMonitoringDelivery", [("VehicleActivity", activity)])])]
+    xmlns = f" xmlns:{prefix}" if prefix else " xmlns"
+    return element("Siri", root, prefix).replace("Siri>", f'Siri{xmlns}="{namespace}">', 1)
 
 
 def snapshot(xml, member="siri.xml"):
@@ -83,10 +91,10 @@ def load(spark, tmp_path, payload, **options):
 def test_position_inside_the_area(spark, tmp_path):
     (row,) = load(spark, tmp_path, snapshot(siri()))
     assert row.asDict() == {
-        "recorded_at": "2026-07-01T09:00:00+00:00", "line_ref": "42", "direction_ref": "inbound",
-        "operator_ref": "TEST", "origin_ref": None, "destination_ref": None,
-        "origin_aimed_departure": "2026-07-01T08:30:00+00:00", "dated_vehicle_journey_ref": "VJ_1",
-        "data_frame_ref": "2026-07-01", "vehicle_ref": "BUS1", "longitude": -2.23, "latitude": 53.477,
+        "recorded_at": "2026-07-01T09:00:00+00:00", "line_ref": "X5", "direction_ref": "outbound",
+        "operator_ref": "ACME", "origin_ref": None, "destination_ref": None,
+        "origin_aimed_departure": "2026-07-01T08:30:00+00:00", "dated_vehicle_journey_ref": "J77",
+        "data_frame_ref": "2026-07-01", "vehicle_ref": "BUS-7", "longitude": -2.23, "latitude": 53.477,
         "snapshot_file": "snap.zip", "source_date": "20260701",
     }
 
@@ -128,8 +136,8 @@ def test_xml_variants(spark):
     }
     frame = spark.createDataFrame(list(documents.items()), "k string, xml string")
     got = rows_of(positions.explode_activities(frame), "k", "line_ref", "latitude")
-    assert got == sorted((k, "42", 53.477) for k in documents)
-    escaped = spark.createDataFrame([(body.replace(">42<", ">A&amp;B<"),), (body.replace(">42<", "><"),)], "xml string")
+    assert got == sorted((k, "X5", 53.477) for k in documents)
+    escaped = spark.createDataFrame([(body.replace(">X5<", ">A&amp;B<"),), (body.replace(">X5<", "><"),)], "xml string")
     assert {r.line_ref for r in positions.explode_activities(escaped).collect()} == {"A&B", None}
 
 
