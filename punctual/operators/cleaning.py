@@ -42,7 +42,7 @@ def journey_coherence(
 def drop_incoherent(events: DataFrame, **limits: float) -> DataFrame:
     """Events of coherent journeys. Events without a vehicle have no journey to judge and go as well."""
     keep = journey_coherence(events, **limits).where("coherent").select(*JOURNEY_KEY)
-    return events.join(keep, JOURNEY_KEY, "left_semi")
+    return events.join(keep, JOURNEY_KEY, "left_semi").select(*events.columns)
 
 
 def cleaning_funnel(stages: dict[str, DataFrame]) -> DataFrame:

@@ -14,6 +14,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from punctual.sources.sinks import path_exists
+
 Stage = Callable[[DataFrame, str], DataFrame]
 
 _lock = threading.RLock()
@@ -39,10 +41,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 def written_once(spark: SparkSession, source: str, name: str, write: Callable[[str], None]) -> str:
     """The path of the table `name` derived from `source`; `write(path)` runs unless this application
-    has written it already."""
+    has written it already and it is still there."""
     path = f"{shared_folder(spark)}/{hashlib.md5(source.encode()).hexdigest()[:12]}/{name}"
     with _lock:
-        if path not in _written:
+        if path not in _written or not path_exists(spark, path):
             write(path)
             _written.add(path)
     return path

@@ -22,8 +22,11 @@ def write_tables(tables: Mapping[str, DataFrame], directory: str, at_once: int =
 
 
 def write_delay_events(events: DataFrame, path: str) -> None:
-    """Full refresh of the event table, one partition per service date."""
-    events.write.mode("overwrite").partitionBy("service_date").parquet(path)
+    """Full refresh of the event table, one partition per service date.
+
+    Rebalancing gathers a date into few files of a good size, and splits a date too large for one.
+    """
+    events.hint("rebalance", "service_date").write.mode("overwrite").partitionBy("service_date").parquet(path)
 
 
 def replace_days(rows: DataFrame, path: str, day: str = "source_date") -> None:
@@ -54,9 +57,13 @@ def write_model_comparison(rows: DataFrame, path: str) -> None:
     rows.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
+
+
 def read_model_comparison(spark: SparkSession, path: str) -> DataFrame | None:
     """The comparison table, None if it was never written."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(jvm_path):
+    if not path_exists(spark, path):
         return None
     return spark.read.schema(schemas.MODEL_COMPARISON).option("header", True).csv(path)

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows_of
+from punctual import schemas
 from punctual.checks import feeds, landing
 from punctual.functions.times import gtfs_time_seconds
 from punctual.operators import calendar, clipping, matching, schedule, skew
@@ -178,6 +179,10 @@ def test_agrees_with_the_ranking_form(inputs, baseline):
     assert rows_of(kept, *COLUMNS) == baseline
 
 
+def test_columns_of_the_event_table(inputs):
+    assert events_of(*inputs).delay_events.columns == schemas.EVENT_COLUMNS
+
+
 def test_order_and_copies_do_not_matter(inputs, baseline):
     feed, positions = inputs
     shuffled = positions.union(positions).repartition(7, "longitude").orderBy(F.rand(3))

@@ -173,6 +173,7 @@ def test_events_are_partitioned_by_day(spark, tmp_path):
     path = str(tmp_path / "events")
     rows = spark.createDataFrame([("20260701", 1.0), ("20260630", 2.0)], "service_date string, delay_min double")
     sinks.write_delay_events(rows, path)
+    assert len(list((tmp_path / "events").glob("service_date=*/*.parquet"))) == 2
     back = sinks.read_delay_events(spark, path, rows.schema)
     assert rows_of(back, "service_date", "delay_min") == [("20260630", 2.0), ("20260701", 1.0)]
     plan = back.where("service_date = '20260701'")._jdf.queryExecution().toString()
@@ -189,6 +190,21 @@ def test_model_comparison_file(spark, tmp_path):
     assert rows_of(metrics_long(back)) == [("RMSE", 2.0, "m"), ("MAE", 1.0, "m")][::-1]
 
 
+def test_jdbc_load_is_batched_and_in_order():
+    calls = []
+
+    class Table:
+        def __init__(self):
+            self.write = self
+
+        def jdbc(self, url, name, mode, properties):
+            calls.append((url, name, mode, properties))
+
+    sinks.write_jdbc({"dim": Table(), "fact": Table()}, "jdbc:x:y", driver="d")
+    assert [c[1] for c in calls] == ["dim", "fact"]
+    assert all(c[2:] == ("overwrite", {"batchsize": "5000", "driver": "d"}) for c in calls)
+
+
 def test_range_source(spark):
     spread = spark.range(100).repartition(8)
     assert spread.rdd.getNumPartitions() == 8 and spread.agg(F.sum("id")).first()[0] == 4950
