@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import token_counts, token_files
+from punctual.llm import piece_codec, recompression, simhash, suffix_dedup, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_token_files": token_files.query,
+    "op3_recompression": recompression.query,
+    "op6_sentencepiece": piece_codec.query,
+    "op7_simhash": simhash.query,
     "op8_token_counts": token_counts.query,
+    "op9_suffix_dedup": suffix_dedup.query,
 }
 ORACLES: dict[str, str] = {}
