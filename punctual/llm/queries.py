@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import piece_codec, quality_rules, recompression, simhash, suffix_dedup, token_counts, token_files
+from punctual.llm import mixing, piece_codec, quality_classifier, quality_rules, recompression, simhash, suffix_dedup, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_token_files": token_files.query,
+    "op2_quality_classifier": quality_classifier.query,
     "op3_recompression": recompression.query,
     "op4_quality_rules": quality_rules.query,
     "op6_sentencepiece": piece_codec.query,
     "op7_simhash": simhash.query,
     "op8_token_counts": token_counts.query,
     "op9_suffix_dedup": suffix_dedup.query,
+    "op10_mixing": mixing.query,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_mixing": mixing.oracle()}
