@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -106,7 +107,7 @@ def mix(*parts: np.ndarray) -> np.ndarray:
 class PieceCache:
     """Values of pieces of text that recur: each piece is worked out once per worker.
 
-    `compute` takes distinct pieces and returns an array of numbers per piece. Holds `limit` pieces, then
+    `compute` takes distinct pieces and returns an array or a list of numbers per piece. Holds `limit` pieces, then
     starts anew; the limit bounds memory only, no result depends on it.
     """
 
@@ -139,7 +140,10 @@ class PieceCache:
         first = len(self.index)
         self.index.update(zip(new, range(first, first + len(new)), strict=True))
         lengths = np.fromiter(map(len, values), np.int64, len(values))
-        flat = np.concatenate(values).astype(self.dtype) if len(values) else np.zeros(0, self.dtype)
+        if len(values) and isinstance(values[0], np.ndarray):
+            flat = np.concatenate(values).astype(self.dtype)
+        else:
+            flat = np.fromiter(chain.from_iterable(values), self.dtype)
         while first + len(new) > self.starts.size:
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])

@@ -4,7 +4,7 @@ Suffixes are put in buckets by their first 8 bytes. A bucket is refined by the b
 at later offsets: identifiers for 16 bytes come from those for 8 at offsets 0 and 8, those for 32 from 16, and so
 on to 64, 128 and 200 bytes, each step using the one before. An identifier is named by a digest of the pair it
 stands for, so it is the same in every task and no global sort is needed to hand it out. Of all suffixes, those
-that are least by their 64-byte identifier among 137 neighbours go on: every window of 200 bytes has such a
+that are least by their 32-byte identifier among 169 neighbours go on: every window of 200 bytes has such a
 suffix, at a place that its bytes alone decide. Buckets of one suffix drop out; the others are refined to 200
 bytes around that place (see `windows`).
 """
@@ -21,7 +21,7 @@ from punctual.llm.common import joined_bytes, mix, stored, table
 from punctual.llm.windows import POSITION_BITS, Scanned, covered, cut_texts, gaps_of, keyed_texts, range_minimum, repeated_windows, span_lists
 
 WINDOW = 200
-Q = 64
+Q = 32
 
 
 def _scan(column: pa.Array) -> Scanned:
@@ -30,12 +30,13 @@ def _scan(column: pa.Array) -> Scanned:
     padded = np.zeros(n + WINDOW + Q, np.uint8)
     padded[:n] = data
     bucket = np.lib.stride_tricks.sliding_window_view(padded, 8).copy().view(">u8").ravel().astype(np.uint64)
-    for offset in (8, 16, 32):
+    for offset in (8, 16):
         bucket = mix(bucket[:-offset], bucket[offset:])
-    pointers = bucket  # identifiers of 64 bytes
+    pointers = bucket  # identifiers of 32 bytes
 
     def at_128(places: np.ndarray) -> np.ndarray:
-        return mix(pointers[places], pointers[places + 64])
+        at_64 = [mix(pointers[p], pointers[p + Q]) for p in (places, places + 2 * Q)]
+        return mix(*at_64)
 
     def at_200(places: np.ndarray) -> np.ndarray:
         return mix(at_128(places), at_128(places + 72))

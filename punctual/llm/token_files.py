@@ -8,6 +8,8 @@ reads a few pages, and metadata reads skip the ids.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,46 +25,69 @@ ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 500
 FILE_SCHEMA = "part int, local_start long, n_tokens int, ids array<int>"
+WORDS_KEPT = 300_000
+PARTS_KEPT = 400_000
+# Latin-1 letters, single digits and other signs of ASCII: the same cuts as the tokenizer's own pattern makes
+PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+PLAIN = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+").fullmatch
 _WORKER: dict = {}
 
 
 class WordEncoder:
     """ids of a text by the tokenizers library, through the words it is made of.
 
-    Only for tokenizers that drop white space before they merge, so that no token crosses it. Words of a batch
-    that were not seen before are encoded together, with a special token between them.
+    Only for tokenizers that lower the case, drop white space and cut at the borders of letters, digits and signs
+    before they merge, so that no token crosses these. A word that was not met before is put together from its
+    parts, and the library encodes each part once. Words with an apostrophe, with a special token or beyond
+    Latin-1 letters go to the library whole, a special token between them.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given each core its task
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         special = self.tokenizer.get_added_tokens_decoder()
         self.fence, token = next(iter(sorted(special.items())))
         self.fence_text = token.content
-        self.cache = PieceCache(self._encode_words)
-
-    def _encode_words(self, words: list[bytes]) -> list[np.ndarray]:
-        fence = self.fence_text.encode()
-        plain = [w for w in words if fence not in w]
-        found = {}
-        for start in range(0, len(plain), 2000):
-            some = plain[start : start + 2000]
-            texts = [f" {self.fence_text} ".join(w.decode("utf-8", "replace") for w in some[i : i + 200]) for i in range(0, len(some), 200)]
-            coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            for i, one in zip(range(0, len(some), 200), coded, strict=True):
-                ids = np.array(one.ids, np.int32)
-                found.update(zip(some[i : i + 200], np.split(ids, np.flatnonzero(ids == self.fence)), strict=True))
-        for word, ids in found.items():
-            found[word] = ids[1:] if ids.size and ids[0] == self.fence else ids
-        for word in words:
-            if word not in found:
-                found[word] = np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, np.int32)
-        return [found[w] for w in words]
+        self.special = [t.content.encode() for t in special.values()]
+        self.cache = PieceCache(self._encode_words, limit=WORDS_KEPT)
+        self.parts: dict[str, list[int]] = {}
+
+    def _between_fences(self, pieces: list[str]) -> list[list[int]]:
+        found = []
+        for start in range(0, len(pieces), 200):
+            some = pieces[start : start + 200]
+            one = self.tokenizer.encode(f" {self.fence_text} ".join(some), add_special_tokens=False).ids
+            ends = [i for i, x in enumerate(one) if x == self.fence]
+            found += [one[a + 1 : b] for a, b in zip([-1, *ends], [*ends, len(one)], strict=True)]
+        return found
+
+    def _encode_words(self, words: list[bytes]) -> list[list[int]]:
+        if len(self.parts) > PARTS_KEPT:
+            self.parts.clear()
+        texts = [w.decode("utf-8", "replace") for w in words]
+        split = [PARTS.findall(t.lower()) if PLAIN(t) else None for t in texts]
+        known = self.parts
+        new = [p for p in dict.fromkeys(p for parts in split if parts for p in parts) if p not in known]
+        known.update(zip(new, self._between_fences(new), strict=True))
+        whole = [t for t, parts in zip(texts, split, strict=True) if parts is None]
+        fenced = [t for t in whole if self.fence_text not in t]
+        found = dict(zip(fenced, self._between_fences(fenced), strict=True))
+        out = []
+        for text, parts in zip(texts, split, strict=True):
+            if parts is None:
+                out.append(found[text] if text in found else self.tokenizer.encode(text, add_special_tokens=False).ids)
+            elif len(parts) == 1:
+                out.append(known[parts[0]])
+            else:
+                out.append([i for p in parts for i in known[p]])
+        return out
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
-        split = [t.split() for t in texts]
+        # lower-casing letters of ASCII first only makes words alike that the tokenizer would make alike
+        split = [(t if any(x in t for x in self.special) else t.lower()).split() for t in texts]
         places = self.cache.places([w for words in split for w in words])
         ids, lengths = self.cache.expand(places)
         return ids, sums_by_row(lengths, np.fromiter(map(len, split), np.int64, len(split)))

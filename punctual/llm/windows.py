@@ -2,9 +2,10 @@
 
 A window has an anchor: a stretch inside it that is chosen by the window's content alone, so equal windows have
 equal anchors at equal places. Neighbouring windows with the same anchor form a gap. A gap is one row: the name
-of its anchor, and its class, which is the name of the text of all its windows. Rows of a class are the same
-windows throughout, so a class needs one decision. Only where an anchor has gaps of several classes may single
-windows of different classes be equal: the windows of one gap of each such class are named and compared.
+of its anchor, and its class, which is the name of the text of all its windows. An anchor met once settles that
+its windows are met once; one with a single class, that all of them are repeated. Only where an anchor has gaps
+of several classes may single windows of different classes be equal: the windows of one gap of each class are
+named and compared.
 
 So what is moved are rows of a few numbers, one for some dozen words of text, and single windows only around the
 ends of repeated passages. A passage that very many rows share is a class with a large count.
@@ -19,10 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctual.llm.common import byte_lengths, mix, row_key, slices, stored, text_bytes
+from punctual.llm.common import mix, row_key, slices, stored, text_bytes
 
 LAST = (1 << 63) - 1  # stands for a null id, after all others
 POSITION_BITS = 30
+CLASSES_TOGETHER = 256  # an anchor with more classes is compared window by window, with the same outcome
 GAPS = "doc long, key long, name long, cls long, lo int, n int"
 
 # Units of a row of texts, where each text starts (one more: the end) -> what `gaps_of` needs.
@@ -94,7 +96,9 @@ def gaps_of(texts: DataFrame, make_scan: Callable[[], Callable], limit: int = 1
     return texts.select("doc", "key", "text").mapInArrow(run, GAPS)
 
 
-def _named_windows(make_scan: Callable[[], Callable], limit: int):
+def _bodies(make_scan: Callable[[], Callable], limit: int):
+    """Texts with their spots (lo, n, name, cls, value, copies) to one row per spot with `windows`, the names of its windows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = make_scan()
         for batch in slices(batches, limit=limit):
@@ -103,53 +107,91 @@ def _named_windows(make_scan: Callable[[], Callable], limit: int):
             flat = spots.flatten()
             low = np.asarray(flat.field("lo")).astype(np.int64) + np.repeat(scanned.bounds[:-1], per_text)
             n = np.asarray(flat.field("n")).astype(np.int64)
-            row = np.repeat(np.arange(len(n)), n)
-            offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            names = scanned.window_names(low[row] + offset)
-            columns = [names.view(np.int64), *(np.asarray(flat.field(c))[row] for c in ("name", "cls", "value")), offset.astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["window", "name", "cls", "value", "offset"])
+            ends = np.cumsum(n)
+            offset = np.arange(ends[-1] if len(n) else 0) - np.repeat(ends - n, n)
+            names = scanned.window_names(np.repeat(low, n) + offset).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(names))
+            yield pa.RecordBatch.from_arrays([*(flat.field(c) for c in ("name", "cls", "value", "copies")), lists], ["name", "cls", "value", "copies", "windows"])
+
+    return run
+
+
+def _settle(earlier: bool):
+    """Classes of an anchor name, side by side, to the best value of each of their windows, in runs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 1000):
+                yield _settled(batch.slice(first, 1000), earlier)
 
     return run
 
 
+def _settled(batch: pa.RecordBatch, earlier: bool) -> pa.RecordBatch:
+    groups = batch.column("classes")
+    flat = groups.flatten()
+    group = np.repeat(np.arange(len(groups)), np.diff(np.asarray(groups.offsets)))
+    cls, value, copies = (np.asarray(flat.field(c)) for c in ("cls", "value", "copies"))
+    lists = flat.field("windows")
+    n = np.diff(np.asarray(lists.offsets)).astype(np.int64)
+    window = np.asarray(lists.flatten())
+    owner = np.repeat(np.arange(len(n)), n)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    order = np.lexsort((window, group[owner]))
+    w, g = window[order], group[owner][order]
+    begins = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (g[1:] != g[:-1])])) if len(w) else np.zeros(0, np.int64)
+    merged = (np.minimum if earlier else np.add).reduceat(value[owner][order], begins) if len(w) else np.zeros(0, np.int64)
+    best = np.empty(len(w), np.int64)
+    best[order] = np.repeat(merged, np.diff(np.concatenate([begins, [len(w)]])))
+    some = (best < value[owner]) | (copies[owner] > 1) if earlier else best > 1
+    owner, offset, best = owner[some], offset[some], best[some]
+    if not earlier:
+        best = np.zeros_like(best)  # that it is repeated is all that counts
+    new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (offset[1:] != offset[:-1] + 1) | (best[1:] != best[:-1])]) if len(owner) else np.zeros(0, bool)
+    begins = np.flatnonzero(new)
+    ends = np.concatenate([begins[1:], [len(owner)]]) - 1 if len(begins) else begins
+    names = np.asarray(batch.column("name"))[group[owner[begins]]]
+    columns = [names, cls[owner[begins]], offset[begins].astype(np.int32), offset[ends].astype(np.int32), best[begins]]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["name", "cls", "first", "last", "value"])
+
+
 def repeated_windows(gaps: DataFrame, texts: DataFrame, make_scan: Callable[[], Callable], earlier: bool, limit: int = 1 << 20) -> DataFrame:
     """(doc, key, spans): for each row the starts of repeated windows, as arrays of (first, last).
 
     earlier: a window counts if it also starts in a row of a smaller id. Otherwise it counts if it starts
-    anywhere else, the same row included. `gaps` is read several times and should be a stored table.
+    anywhere else, the same row included. `gaps` is read twice and should be a stored table.
     """
+    names = gaps.groupBy("name").agg(F.count("*").alias("total"), F.min("cls").alias("a"), F.max("cls").alias("b"), F.min("doc").alias("least"))
+    names = names.where("total > 1").select("name", (F.col("a") != F.col("b")).alias("several"), "least")
+    met = stored(gaps.join(names, "name"), "gaps-met")
+    # an anchor with one class: all its windows are repeated
+    alone = met.where("not several" + (" and least < doc" if earlier else ""))
+    hits = alone.select("doc", "key", F.col("lo").alias("first"), (F.col("lo") + F.col("n") - 1).alias("last"))
+    # with several classes: the windows of one gap of each are compared
+    several = met.where("several").select("doc", "key", "name", "cls", "lo", "n")
     value = F.min("doc") if earlier else F.count("*")
-    per_class = gaps.groupBy("name", "cls").agg(value.alias("value"), F.count("*").alias("copies"), F.min("key").alias("rep"), F.min("n").alias("n"))
-    # a name met once needs no look; those met in several classes are compared window by window
-    classes = stored(per_class, "gap-classes")
-    per_name = classes.groupBy("name").agg(F.count("*").alias("classes"))
-    several = per_name.where("classes > 1").select("name")
-
-    spots = gaps.select("doc", "key", "name", "cls", "lo", "n").join(
-        classes.join(several, "name", "left_semi").select("name", "cls", "value", F.col("rep").alias("key")), ["name", "cls", "key"]
-    )
-    per_text = spots.groupBy("doc", "key").agg(F.collect_list(F.struct("lo", "n", "name", "cls", "value")).alias("spots"))
-    asked = texts.select("doc", "key", "text").join(per_text.hint("shuffle_hash"), ["doc", "key"])
-    windows = asked.mapInArrow(_named_windows(make_scan, limit), "window long, name long, cls long, value long, offset int")
-    windows = stored(windows, "gap-windows")
-    best = windows.groupBy("name", "window").agg((F.min("value") if earlier else F.sum("value")).alias("best"), F.count("*").alias("rows"))
+    classes = several.groupBy("name", "cls").agg(value.alias("value"), F.count("*").alias("copies"), F.min("key").alias("rep"))
+    sizes = classes.groupBy("name").agg(F.count("*").alias("size"))
+    spots = several.join(classes.join(sizes, "name"), ["name", "cls"]).where("key = rep")
+    bodies = "name long, cls long, value long, copies long, windows array<long>"
+
+    def asked(some: DataFrame) -> DataFrame:
+        per_text = some.groupBy("doc", "key").agg(F.collect_list(F.struct("lo", "n", "name", "cls", "value", "copies")).alias("spots"))
+        return texts.join(per_text.hint("shuffle_hash"), ["doc", "key"]).mapInArrow(_bodies(make_scan, limit), bodies)
+
+    grouped = asked(spots.where(f"size <= {CLASSES_TOGETHER}")).groupBy("name").agg(F.collect_list(F.struct("cls", "value", "copies", "windows")).alias("classes"))
+    few = grouped.mapInArrow(_settle(earlier), "name long, cls long, first int, last int, value long")
+    # an anchor with very many classes: its windows are spread, and their best values come back by a join
+    windows = asked(spots.where(f"size > {CLASSES_TOGETHER}")).select("name", "cls", "value", "copies", F.posexplode("windows").alias("first", "window"))
+    best = windows.groupBy("name", "window").agg((F.min("value") if earlier else F.sum("value")).alias("best"))
+    useful = "best < value or copies > 1" if earlier else "best > 1"
+    many = windows.join(best, ["name", "window"]).where(useful).select("name", "cls", "first", F.col("first").alias("last"), (F.col("best") if earlier else F.lit(0).cast("long")).alias("value"))
+    verdicts = few.union(many).groupBy("name", "cls").agg(F.collect_set(F.struct("first", "last", "value")).alias("pieces"))
+    judged = several.join(verdicts, ["name", "cls"]).select("doc", "key", "lo", F.inline("pieces"))
     if earlier:
-        useful = best.where("rows > 1")
-        judged = windows.join(useful, ["name", "window"]).where("best < value").select("name", "cls", "offset", F.col("best").alias("value"))
-    else:
-        judged = windows.join(best.where("best > 1"), ["name", "window"]).select("name", "cls", "offset", F.col("best").alias("value"))
-    pieces = judged.select("name", "cls", F.col("offset").alias("first"), F.col("offset").alias("last"), "value")
-    if earlier:  # what a whole class shows is true of its windows, and may be less than what single windows show
-        whole = classes.where("copies > 1").select("name", "cls", F.lit(0).alias("first"), (F.col("n") - 1).alias("last"), "value")
-    else:
-        whole = classes.where("copies > 1").select("name", "cls", F.lit(0).alias("first"), (F.col("n") - 1).alias("last"), "value")
-        pieces = pieces.join(classes.where("copies = 1").select("name", "cls"), ["name", "cls"], "left_semi")
-    verdicts = pieces.union(whole).groupBy("name", "cls").agg(F.collect_set(F.struct("first", "last", "value")).alias("pieces"))
-    hits = gaps.select("doc", "key", "name", "cls", "lo").join(verdicts, ["name", "cls"]).select("doc", "key", "lo", F.inline("pieces"))
-    if earlier:
-        hits = hits.where("value < doc")
-    spans = hits.select("doc", "key", (F.col("lo") + F.col("first")).alias("first"), (F.col("lo") + F.col("last")).alias("last"))
-    return spans.groupBy("doc", "key").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+        judged = judged.where("value < doc")
+    hits = hits.union(judged.select("doc", "key", (F.col("lo") + F.col("first")).alias("first"), (F.col("lo") + F.col("last")).alias("last")))
+    return hits.groupBy("doc", "key").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
 def covered(length: int, spans: list[tuple[int, int]] | None, size: int) -> np.ndarray:
@@ -165,18 +207,16 @@ def covered(length: int, spans: list[tuple[int, int]] | None, size: int) -> np.n
 def cut_texts(texts: DataFrame, spans: DataFrame, cut: Callable[[pa.RecordBatch], list[pa.Array]], names: list[str], schema: str, *more: str) -> DataFrame:
     """`cut` over every text with its spans; id and more columns go through."""
 
+    # the texts are dealt as for the comparison of windows, so that Spark can use the same exchange again
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             kept = [batch.column(c) for c in ("id", *more)]
             yield pa.RecordBatch.from_arrays([*kept, *cut(batch)], ["id", *more, *names])
 
-    marked = texts.join(spans.hint("shuffle_hash"), ["doc", "key"], "left").select("id", *more, "text", "spans")
+    marked = texts.join(spans.hint("shuffle_hash"), ["doc", "key"], "left")
     types = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in ("id", *more))
     return marked.mapInArrow(run, f"{types}, {schema}")
 
 
 def span_lists(batch: pa.RecordBatch) -> list[list[tuple[int, int]] | None]:
     return [x and [(s["first"], s["last"]) for s in x] for x in batch.column("spans").to_pylist()]
-
-
-__all__ = ["GAPS", "Scanned", "byte_lengths", "covered", "cut_texts", "gaps_of", "keyed_texts", "range_minimum", "repeated_windows", "span_lists", "stored"]
