@@ -21,8 +21,8 @@ from punctual.llm.common import PieceCache, mix, stored, table
 from punctual.llm.windows import POSITION_BITS, Scanned, covered, cut_texts, gaps_of, keyed_texts, repeated_windows, span_lists
 
 WINDOW = 50
-ROUNDS = 7
-RUN_ROUNDS = (0, 3)
+ROUNDS = 6
+RUN_ROUNDS = (0,)
 _LOW = np.uint64((1 << POSITION_BITS) - 1)
 _WORKER: dict = {}
 
