@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb, log2
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,7 @@ BITS = 64
 MAX_DISTANCE = 3
 SEED = 42
 SKETCH_BITS = 13
+FEW = 1 << 24  # distinct fingerprints
 PROBE_COST = 1.0  # of one probed key, in candidates
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -187,12 +188,12 @@ def _keyed(make, name: str):
 def near_pairs(nodes: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """(x, y): all pairs of the distinct fingerprints in `nodes` (column fp) that differ in at most max_distance bits.
 
-    The number of groups falls as the table grows, so that a group value is shared by about one fingerprint of
-    unrelated texts. Only the smaller of two fingerprints asks. A value that very many share makes a skewed
+    Three groups of some 21 bits, or two of 32 for tables so large that unrelated texts often share 21 bits; the
+    pairs are the same. Only the smaller of two fingerprints asks. A value that very many share makes a skewed
     join, which is split at run time; only verified pairs leave it.
     """
     n = nodes.count()
-    groups = max(2, min(max_distance + 1, int(BITS / max(1.0, log2(max(n, 2))))))
+    groups = 3 if n < FEW else 2
     holes = Pigeonholes(bit_groups(nodes, n, groups), max_distance)
     filed = nodes.select("fp").mapInArrow(_keyed(holes.filed, "y"), "key long, y long")
     holes.sketch = _sketch(nodes, holes)
