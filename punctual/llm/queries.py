@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import mixing, piece_codec, quality_classifier, quality_rules, recompression, simhash, suffix_dedup, token_counts, token_files
+from punctual.llm import embedding_dedup, mixing, piece_codec, quality_classifier, quality_rules, recompression, simhash, suffix_dedup, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_classifier": quality_classifier.query,
     "op3_recompression": recompression.query,
     "op4_quality_rules": quality_rules.query,
+    "op5_nn_descent": embedding_dedup.query,
     "op6_sentencepiece": piece_codec.query,
     "op7_simhash": simhash.query,
     "op8_token_counts": token_counts.query,
