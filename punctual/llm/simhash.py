@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.llm.common import slices, stored, table, text_bytes
+from punctual.llm.common import row_key, slices, stored, table, text_bytes
 from punctual.llm.components import components
 
 BITS = 64
@@ -241,13 +241,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """docs without near-duplicates: the row of the smallest id of each component stays, its copies go.
 
-    Of rows that share that id and text one stays. A component in which no row has an id keeps one row.
+    Of rows that share that id and text one stays. Rows without an id come after those with one.
     """
-    from punctual.llm.common import row_key
-
     key = row_key(docs, id_column, text_column)
-    found = near_duplicates(docs.select(F.struct(F.col(id_column), key.alias("key")).alias("id"), text_column), "id", text_column)
-    kept = found.where(F.col("id") == F.col("component_id")).select(F.col("id.key").alias("_key")).distinct()
+    order = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), key.alias("key"))
+    found = near_duplicates(docs.select(order.alias("id"), F.col(text_column).alias("text")), "id", "text")
+    kept = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id.key").alias("_key")).distinct()
     one = docs.withColumn("_key", key).join(kept, "_key", "left_semi")
     return one.dropDuplicates(["_key"]).drop("_key")
 
