@@ -75,6 +75,12 @@ def _routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def listed_sequence() -> Column:
+    """Some calls come without their place in the order."""
+    missing = (F.col("trip_id") % 13 == 0) & (F.col("stop_sequence") == 2)
+    return F.when(~missing, F.col("stop_sequence"))
+
+
 def timetable(spark: SparkSession, sf_dir: str) -> Timetable:
     """The feed as its publisher would give it, the area not yet applied."""
     calendar = spark.createDataFrame(
@@ -100,7 +106,8 @@ def timetable(spark: SparkSession, sf_dir: str) -> Timetable:
         routes=_routes(spark, sf_dir),
         trips=_trips(spark, sf_dir).drop("origin_sec"),
         stop_times=_timed_calls(spark, sf_dir).select(
-            "trip_id", "stop_id", "stop_sequence", _clock_text(F.col("sched_sec_raw")).alias("arrival_time")
+            "trip_id", "stop_id", listed_sequence().alias("stop_sequence"),
+            _clock_text(F.col("sched_sec_raw")).alias("arrival_time"),
         ),
         calendar=calendar,
         calendar_dates=calendar_dates,
@@ -179,10 +186,9 @@ def customer_calendar(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     return calendar, exceptions
 
 
-def repeated_snapshots(positions: DataFrame, day: str) -> DataFrame:
-    """The positions of one day as two snapshots in a row report them."""
-    one = positions.where(F.col("source_date") == day)
-    return one.withColumn("snapshot_file", F.lit("1.zip")).union(one.withColumn("snapshot_file", F.lit("2.zip")))
+def repeated_snapshots(positions: DataFrame) -> DataFrame:
+    """The positions as two snapshots in a row report them."""
+    return positions.withColumn("snapshot_file", F.explode(F.array(F.lit("1.zip"), F.lit("2.zip"))))
 
 
 ACTIVITIES_PER_DOCUMENT = 40
@@ -228,12 +234,26 @@ def as_documents(positions: DataFrame) -> DataFrame:
     prefixed = F.regexp_replace(F.regexp_replace("xml", r"<(/?)(\w)", "<$1s:$2"), "xmlns=", "xmlns:s=")
     kind = F.col("number") % 5
     sound = documents.withColumn("xml", F.when(F.col("number") % 3 == 0, prefixed).otherwise(F.col("xml")))
+    # tails and tags that well-formed documents may have
+    variant = F.col("number") % 7
+    filler = F.repeat(F.lit("long tail "), 1000)
+    sound = sound.withColumn(
+        "xml",
+        F.when(variant == 1, F.concat("xml", F.lit("<!--"), filler, F.lit("-->")))
+        .when(variant == 2, F.concat("xml", F.repeat(F.lit("\n"), 10_000)))
+        .when(variant == 3, F.concat("xml", F.lit("<?end "), filler, F.lit("?>")))
+        .when(variant == 4, F.replace(F.col("xml"), F.lit("VehicleActivity>"), F.lit("VehicleActivity >")))
+        .when(variant == 5, F.regexp_replace("xml", r"(<(?:s:)?VehicleActivity)>", "$1 note='a > b'>"))
+        .otherwise(F.col("xml")),
+    )
     damaged = documents.withColumn(
         "xml",
         F.when(kind == 0, F.lit(""))
         .when(kind == 1, F.expr("substring(xml, 1, length(xml) - 12)"))
         .when(kind == 2, F.replace(F.col("xml"), F.lit("</ServiceDelivery>"), F.lit("</Service>")))
-        .when(kind == 3, F.replace(F.col("xml"), F.lit("http://www.siri.org.uk/siri"), F.lit("urn:other")))
+        .when(kind == 3, F.replace(
+            F.col("xml"), F.lit('xmlns="http://www.siri.org.uk/siri"'), F.lit('xmlns="urn:other" was="http://www.siri.org.uk/siri"')
+        ))
         .otherwise(F.lit("this is not XML")),
     )
     return sound.union(damaged).select("source_date", "xml")

@@ -60,9 +60,3 @@ def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_delay_events(reconstruction(spark, sf_dir, tuple(feeds.SERVICE_DATES)).delay_events, path)
 
     return _read_by_day(spark, written_once(spark, sf_dir, "delay_events", write), "service_date")
-
-
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Delay events of one service date."""
-    rows = all_events(spark, sf_dir)
-    return rows.where(rows.service_date == DAY)

@@ -27,7 +27,8 @@ FEEDS = {
         select l_orderkey trip_id, l_linenumber stop_sequence, min(l_suppkey) stop_id, min(l_partkey) pk
         from lineitem group by l_orderkey, l_linenumber""",
     "fx_stop_times": """
-        select c.trip_id, c.stop_id, c.stop_sequence, c.pk,
+        select c.trip_id, c.stop_id, c.pk,
+               case when c.trip_id % 13 = 0 and c.stop_sequence = 2 then null else c.stop_sequence end stop_sequence,
                cast(t.origin_sec + 180 * c.stop_sequence as int) sched_sec_raw
         from fx_calls c join fx_trips t on c.trip_id = t.trip_id""",
     "fx_calendar": """
@@ -56,6 +57,12 @@ FEEDS = {
         join fx_stops s on st.stop_id = s.stop_id
         join (select trip_id, min(stop_sequence) first_seq from fx_calls group by trip_id) o
             on o.trip_id = t.trip_id""",
+    # The position feed: every ping under both days.
+    "fx_feed": """
+        select p.*, d.source_date, strftime(d.midnight + to_seconds(p.ping_sec), '%Y-%m-%dT%H:%M:%S+00:00') recorded_at,
+               strftime(d.midnight + to_seconds(p.jo), '%Y-%m-%dT%H:%M:%S+00:00') origin_aimed_departure
+        from fx_pings p cross join (values ('20260630', timestamp '2026-06-29 23:00:00'),
+            ('20260701', timestamp '2026-06-30 23:00:00')) as d(source_date, midnight)""",
     "gm": """
         select * from fx_stops
         where stop_lat between 53.30e0 and 53.65e0 and stop_lon between -2.75e0 and -1.90e0""",
@@ -116,7 +123,7 @@ def reconstruction(day: str) -> dict[str, str]:
         join gm on gm.stop_id = st.stop_id""",
         f"orig_{day}": f"""
         select * from (select trip_id, operator, line, direction_id, sched_sec origin_sec,
-            row_number() over (partition by trip_id order by stop_sequence) rn from sched_{day}) x
+            row_number() over (partition by trip_id order by stop_sequence nulls first) rn from sched_{day}) x
         where rn = 1""",
         f"jr_{day}": """
         select operator_ref operator, line_ref line, jo, count(*) n from fx_pings
@@ -140,8 +147,8 @@ def reconstruction(day: str) -> dict[str, str]:
         where p.ping_sec between 0 and 86399""",
         f"near_{day}": f"""
         select * from (select *, row_number() over (partition by trip_id, vehicle_ref, jo, stop_id
-                                                    order by dist_m, ping_sec, stop_sequence) rn
-            from cand_{day} where dist_m <= 120) x
+                                                    order by dist_um, ping_sec, stop_sequence nulls first) rn
+            from (select *, cast(floor(dist_m * 1e6 + 0.5e0) as bigint) dist_um from cand_{day} where dist_m <= 120) c) x
         where rn = 1""",
         f"raw_{day}": f"""
         select * from near_{day} where ping_sec - sched_sec between -900 and 5400""",
@@ -151,7 +158,7 @@ def reconstruction(day: str) -> dict[str, str]:
         f"ev_{day}": f"""
         select '{day}' service_date, r.operator, r.line, r.direction_id, r.trip_id, r.vehicle_ref,
                {utc_text(MIDNIGHT[day], "r.jo")} origin_aimed_departure, r.stop_id, r.stop_sequence,
-               r.stop_lat, r.stop_lon, r.sched_sec, r.ping_sec, r.dist_m,
+               r.stop_lat, r.stop_lon, r.sched_sec, r.ping_sec, r.dist_um,
                r.ping_sec - r.sched_sec delay_sec, (r.ping_sec - r.sched_sec) / 60e0 delay_min
         from raw_{day} r join ks_{day} k
             on r.trip_id = k.trip_id and r.vehicle_ref = k.vehicle_ref and r.jo = k.jo

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctual.functions.measures import mean_delay, model_efficiency, round_half_away
-from punctual.models.features import TARGET, add_derived_features, feature_stages, time_split
+from punctual.models.features import TARGET, add_derived_features, feature_pipeline, time_split
 from punctual.schemas import MODEL_COMPARISON
 from punctual.settings import MODEL_FOLDS, MODEL_PARALLELISM, MODEL_SEED
 
@@ -62,7 +62,7 @@ def cross_validated(
 ) -> CrossValidatorModel:
     """The best model of the grid by cross-validated RMSE, features included in each fold's fit."""
     return CrossValidator(
-        estimator=Pipeline(stages=[*feature_stages(), estimator]),
+        estimator=Pipeline(stages=[feature_pipeline(), estimator]),
         estimatorParamMaps=grid,
         evaluator=RegressionEvaluator(labelCol=TARGET, predictionCol="prediction", metricName="rmse"),
         numFolds=folds,

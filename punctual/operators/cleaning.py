@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctual.functions.measures import delay_seconds
+from punctual.functions.measures import delay_minutes, delay_seconds
 from punctual.schemas import JOURNEY_KEY
 from punctual.settings import MAX_JOURNEY_STD_MINUTES, MIN_STOPS_FOR_COHERENCE
 
@@ -45,12 +45,31 @@ def drop_incoherent(events: DataFrame, **limits: float) -> DataFrame:
     return events.join(keep, JOURNEY_KEY, "left_semi").select(*events.columns)
 
 
-def cleaning_funnel(stages: dict[str, DataFrame]) -> DataFrame:
-    """Rows left after each stage, in the order given."""
-    counts = [
-        frame.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(i).alias("step"), F.lit(name).alias("stage"), "row_count"
-        )
-        for i, (name, frame) in enumerate(stages.items(), 1)
+def cleaning_funnel(pings: DataFrame, snapped: DataFrame, coherent: DataFrame, low: float, high: float) -> DataFrame:
+    """Rows left after each stage.
+
+    `snapped` has one row per stop with the number of its `candidates`, so three stages are counted in one
+    pass over it, and the join with the pings is not run for each of them.
+    """
+    minutes = delay_minutes(F.col("ping_sec"), F.col("sched_sec"))
+    counted = snapped.agg(
+        F.coalesce(F.sum("candidates"), F.lit(0)).alias("candidates"),
+        F.count(F.lit(1)).alias("nearest"),
+        F.count_if(minutes.between(low, high)).alias("clamped"),
+    )
+    rows = F.count(F.lit(1))
+    parts = [
+        pings.agg(rows.alias("row_count")).select(F.lit(1).alias("step"), F.lit("pings").alias("stage"), "row_count"),
+        counted.select(
+            F.inline(
+                F.array(
+                    *(
+                        F.struct(F.lit(i).alias("step"), F.lit(name).alias("stage"), F.col(name).alias("row_count"))
+                        for i, name in enumerate(("candidates", "nearest", "clamped"), 2)
+                    )
+                )
+            )
+        ),
+        coherent.agg(rows.alias("row_count")).select(F.lit(5).alias("step"), F.lit("coherent").alias("stage"), "row_count"),
     ]
-    return reduce(DataFrame.union, counts)
+    return reduce(DataFrame.union, parts)

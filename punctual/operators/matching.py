@@ -208,17 +208,31 @@ def snap_candidates(
     return snap_within(pings, sites, keys, radius_m, cell_deg).drop("salt")
 
 
+# A distance in whole micrometres and a second of the day share one number.
+_SECONDS = 1 << 17  # more than a day has
+
+
 def nearest_pings(candidates: DataFrame) -> DataFrame:
-    """One row per (journey, vehicle, stop): the ping closest to the stop, the earliest of equals.
+    """One row per (journey, vehicle, stop): the ping closest to the stop, the earliest of equals, and how
+    many `candidates` there were.
 
-    A minimum over a struct rather than a ranking: it combines before the shuffle, so that a vehicle that
-    stands at one stop all day arrives as one row per task.
+    Distances are compared and given in whole micrometres. With the time packed into the same number the
+    choice is a minimum over a bigint, which aggregates by hash and combines before the shuffle, so that a
+    vehicle that stands at one stop all day arrives as one row per task. What else is known of the call and
+    the stop follows from the key.
     """
-    best = F.min(
-        F.struct("dist_m", "ping_sec", "call", "direction_id", "stop_lat", "stop_lon")
-    ).alias("best")
-    return candidates.groupBy(*OBSERVED_KEY, "trip_id", "vehicle_ref", "stop_id").agg(best).select(
-        *OBSERVED_KEY, "trip_id", "vehicle_ref", "stop_id", "best.*"
+    micrometres = F.floor(F.col("dist_m") * 1e6 + 0.5)
+    best = F.min(micrometres * _SECONDS + F.col("ping_sec")).alias("_best")
+    known = ["call", "direction_id", "stop_lat", "stop_lon"]
+    return (
+        candidates.groupBy(*OBSERVED_KEY, "trip_id", "vehicle_ref", "stop_id", *known)
+        .agg(best, F.count(F.lit(1)).alias("candidates"))
+        .select(
+            *OBSERVED_KEY, "trip_id", "vehicle_ref", "stop_id",
+            (F.shiftright("_best", 17) / 1e6).alias("dist_m"),
+            F.pmod("_best", F.lit(_SECONDS)).cast("int").alias("ping_sec"),
+            *known, "candidates",
+        )
     )
 
 

@@ -2,26 +2,39 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctual.functions.measures import round_half_away
 
 
-def _distinct(*columns: str):
-    # A struct, because a count over several columns leaves out rows with a NULL in any of them.
-    return F.count_distinct(F.struct(*columns))
+# What each number of the profile counts distinct rows of.
+PROFILE = {
+    "distinct_positions": ["vehicle_ref", "recorded_at", "line_ref", "latitude", "longitude"],
+    "distinct_journeys": ["vehicle_ref", "line_ref", "origin_aimed_departure"],
+}
 
 
 def feed_profile(positions: DataFrame) -> DataFrame:
-    """One row: volume, and distinct positions, journeys, operators and lines."""
-    return positions.agg(
-        F.count(F.lit(1)).alias("total_pings"),
-        _distinct("vehicle_ref", "recorded_at", "line_ref", "latitude", "longitude").alias("distinct_positions"),
-        _distinct("vehicle_ref", "line_ref", "origin_aimed_departure").alias("distinct_journeys"),
-        _distinct("operator_ref").alias("distinct_operators"),
-        _distinct("line_ref").alias("distinct_lines"),
-    )
+    """One row: volume, and distinct positions, journeys, operators and lines.
+
+    Each number comes from a narrow scan of its own that combines before its shuffle. Several distinct
+    counts in one aggregate would first repeat every row for each of them. NULL is a value like any other
+    where several columns are counted, and none where one column is.
+    """
+    rows = F.count(F.lit(1))
+    counts = [positions.agg(rows.alias("total_pings"))]
+    counts += [positions.select(*columns).distinct().agg(rows.alias(name)) for name, columns in PROFILE.items()]
+    counts.append(feed_operators(positions).agg(rows.alias("distinct_operators")))
+    counts.append(positions.where("line_ref is not null").select("line_ref").distinct().agg(rows.alias("distinct_lines")))
+    return _side_by_side(counts)
+
+
+def _side_by_side(single_rows: list[DataFrame]) -> DataFrame:
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), single_rows)
+    return both.agg(*(F.max(c).alias(c) for c in both.columns))
 
 
 def feed_operators(positions: DataFrame) -> DataFrame:
@@ -70,6 +83,4 @@ def join_key_coverage(positions: DataFrame, routes: DataFrame, agency: DataFrame
             "match_rate_pct"
         ),
     )
-    # Two single rows side by side.
-    both = codes.unionByName(pairs, allowMissingColumns=True)
-    return both.agg(*(F.max(c).alias(c) for c in both.columns))
+    return _side_by_side([codes, pairs])

@@ -59,17 +59,20 @@ def route_cv(
 ) -> DataFrame:
     """Coefficient of variation of the durations per line and direction.
 
-    Operators that share a line number count as one route, unless `by_operator`.
+    Operators that share a line number count as one route, unless `by_operator`. Durations are whole
+    seconds, so mean and deviation come from exact sums and depend on no order of addition.
     """
     route = (["operator"] if by_operator else []) + ["line", "direction_id"]
+    d, n = F.col("obs_duration_s").cast("bigint"), F.col("n_trips")
+    exact = lambda c: F.col(c).cast("decimal(19,0)")
+    spread = (exact("n_trips") * exact("_dd") - exact("_d") * exact("_d")).cast("double")
     return (
         durations.groupBy(*route)
-        .agg(
-            F.count(F.lit(1)).alias("n_trips"),
-            F.avg("obs_duration_s").alias("mean_dur"),
-            F.stddev_samp("obs_duration_s").alias("sd_dur"),
-        )
-        .where(F.col("n_trips") >= min_journeys)
+        .agg(F.count(F.lit(1)).alias("n_trips"), F.sum(d).alias("_d"), F.sum(d * d).alias("_dd"))
+        .where(n >= min_journeys)
+        .withColumn("mean_dur", F.col("_d") / n)
+        .withColumn("sd_dur", F.when(n > 1, F.sqrt(spread / (n.cast("double") * (n - 1)))))
+        .drop("_d", "_dd")
         .withColumn("cv", coefficient_of_variation(F.col("mean_dur"), F.col("sd_dur")))
     )
 

@@ -7,19 +7,21 @@ from pyspark.sql import functions as F
 
 from punctual.functions.times import gtfs_time_seconds
 
-# A call is ordered by (stop_sequence, sched_sec). Both packed into one number, so that "the first call"
+# A call is ordered by (stop_sequence, sched_sec); one without a sequence comes first. Both packed into one number, so that "the first call"
 # is a plain min() over a bigint, which aggregates by hash and combines before the shuffle; a min() over a
 # struct would sort.
 _SEQUENCE_STEP = 1 << 32
 _SEC_OFFSET = 1 << 31
+_NO_SEQUENCE = -(1 << 31)
 
 
 def _pack_call(stop_sequence: Column, sched_sec: Column) -> Column:
-    return stop_sequence.cast("bigint") * _SEQUENCE_STEP + (sched_sec + F.lit(_SEC_OFFSET))
+    place = F.coalesce(stop_sequence.cast("bigint"), F.lit(_NO_SEQUENCE).cast("bigint"))
+    return place * _SEQUENCE_STEP + (sched_sec + F.lit(_SEC_OFFSET))
 
 
 def _packed_sequence(call: Column) -> Column:
-    return F.shiftright(call, 32).cast("int")
+    return F.nullif(F.shiftright(call, 32).cast("int"), F.lit(_NO_SEQUENCE))
 
 
 def _packed_sec(call: Column) -> Column:

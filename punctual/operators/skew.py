@@ -5,29 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot if it holds more than one part in HOT_PARTS of all rows; it is cut into slices that each
-# hold about that much. Fewer than HOT_PARTS keys can be hot at once, whatever the size of the data.
-HOT_PARTS = 1000
+# Rows of one key that a task can take; a key with more is cut into slices of about that many.
+SLICE_ROWS = 2_000_000
+# Hot keys are broadcast up to this number (a few hundred bytes each), and joined by a shuffle beyond it.
+BROADCAST_KEYS = 50_000
 
 
-def hot_keys(sizes: DataFrame, keys: list[str], rows: str = "n", parts: int = HOT_PARTS) -> DataFrame | None:
+def hot_keys(sizes: DataFrame, keys: list[str], rows: str = "n", slice_rows: int = SLICE_ROWS) -> DataFrame | None:
     """The hot keys with the number of `slices` for each; None if no key is hot.
 
-    `sizes` has one row per key with its number of rows. A small job reads it for the total and the
-    maximum; give it a stored table.
+    `sizes` has one row per key with its number of rows. A small job counts the hot ones, whose number
+    decides how they are joined; give it a stored table.
     """
-    total, largest = sizes.agg(F.sum(rows), F.max(rows)).first()
-    if not total or largest * parts <= total:
+    hot = sizes.where(F.col(rows) > slice_rows)
+    if not hot.take(1):
         return None
-    share = F.ceil(F.col(rows) * F.lit(parts) / F.lit(total)).cast("int")
-    return sizes.where(F.col(rows) * F.lit(parts) > F.lit(total)).select(*keys, share.alias("slices"))
+    slices = F.ceil(F.col(rows) / F.lit(slice_rows)).cast("int")
+    return broadcast_within(hot.select(*keys, slices.alias("slices")), BROADCAST_KEYS)
 
 
 def salt_rows(rows: DataFrame, hot: DataFrame, keys: list[str], salt: str = "salt") -> DataFrame:
     """Gives each row of a hot key one of its slices, and 0 to all others.
 
-    `hot` comes from `hot_keys`, so it has fewer than HOT_PARTS rows: that bound makes the broadcast safe.
-    The slice follows from the row's content and the partition it is in. Copies of one row, which a digest
+    `hot` comes from `hot_keys`, which has checked its size for a broadcast. The slice follows from the row's content and the partition it is in. Copies of one row, which a digest
     alone would keep together, spread with the partitions; and a task that runs again after a lost executor
     deals its rows the same way, in whatever order it meets them, which a running number would not.
     """
@@ -35,7 +35,7 @@ def salt_rows(rows: DataFrame, hot: DataFrame, keys: list[str], salt: str = "sal
     step = F.spark_partition_id().cast("bigint") * F.lit(7919)
     return (
         rows.withColumn("_deal", F.pmod(content, F.lit(1 << 40)) + step)
-        .join(F.broadcast(hot), keys, "left")
+        .join(hot, keys, "left")
         .withColumn(salt, F.coalesce(F.pmod("_deal", "slices"), F.lit(0)).cast("int"))
         .drop("_deal", "slices")
     )
@@ -45,7 +45,7 @@ def repeat_for_salts(rows: DataFrame, hot: DataFrame, keys: list[str], salt: str
     """The other side of the join: each row of a hot key once per slice."""
     slices = F.coalesce(F.col("slices"), F.lit(1))
     return (
-        rows.join(F.broadcast(hot), keys, "left")
+        rows.join(hot, keys, "left")
         .withColumn(salt, F.explode(F.sequence(F.lit(0), slices - 1)))
         .drop("slices")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil, log
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,25 +31,29 @@ def natural_key() -> Column:
     return F.concat_ws("|", *(F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts))
 
 
-def fact_delay_event(events: DataFrame, digits: int = 3) -> DataFrame:
+BUCKET_ROWS = 200_000
+
+
+def fact_delay_event(events: DataFrame, digits: int | None = None) -> DataFrame:
     """The fact with a surrogate key `event_id`: 1, 2, 3, … without gaps, the same in every run.
 
-    A ranking of all rows would put them into one task. Here the digest of the natural key deals events
-    evenly into 16**digits buckets; rows are ranked within a bucket and moved up by the number of rows in
-    the buckets before it. Only that table of bucket sizes, of fixed length, is ordered as a whole and
-    broadcast.
+    The id is the rank of an event by the digest of its natural key. A ranking of all rows would put them
+    into one task, so the first `digits` of the digest deal them evenly into buckets; rows are ranked within
+    a bucket and moved up by the rows in the buckets before it. How many digits it takes follows from the
+    number of rows and changes no id. Only the table of bucket sizes is ordered as a whole.
     """
-    keyed = events.withColumn("_key", natural_key()).withColumn(
-        "_bucket", F.substring(F.md5(F.col("_key")), 1, digits)
-    )
+    if digits is None:
+        digits = max(1, ceil(log(max(events.count(), 1) / BUCKET_ROWS, 16)))
+    keyed = events.withColumn("_key", natural_key()).withColumn("_digest", F.md5("_key"))
+    keyed = keyed.withColumn("_bucket", F.substring("_digest", 1, digits))
     before = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
         .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_key"))
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_digest", "_key"))
     return (
         keyed.withColumn("_rank", rank)
-        .join(F.broadcast(offsets), "_bucket")
+        .join(offsets, "_bucket")
         .select((F.col("_offset") + F.col("_rank")).alias("event_id"), *FACT_COLUMNS)
     )

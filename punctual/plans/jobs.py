@@ -66,7 +66,7 @@ def ingest_positions(
 ) -> None:
     """Loads the archives of the given days; a day loaded before is replaced, others stay."""
     archives = {date: position_source.archive_path(lake.raw_positions, date) for date in dates}
-    rows = position_source.load_positions(spark, archives, sample_every_nth, area)
+    rows = position_source.load_positions(spark, archives, sample_every_nth, area, stage=stage_tables(spark))
     sinks.replace_days(rows, lake.positions)
 
 

@@ -94,11 +94,11 @@ class Reconstruction:
 
     @cached_property
     def snapped(self) -> DataFrame:
-        return with_call(nearest_pings(self.candidates))
+        return self.stage(with_call(nearest_pings(self.candidates)), "snapped")
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.stage(clamp_delays(self.snapped), "events")
+        return clamp_delays(self.snapped)
 
     @cached_property
     def delay_events(self) -> DataFrame:

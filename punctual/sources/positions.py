@@ -1,19 +1,21 @@
 """Vehicle positions: daily archives (a zip of zips) of XML snapshots.
 
-The work is cut into three steps that Spark spreads out on its own: one task lists an archive, any number
-of tasks unpack entries, and the XML is taken apart by built-in functions.
+The work is cut into steps that Spark spreads out on its own: one task lists an archive, any number of tasks
+unpack entries and take the documents apart, each with a streaming XML parser.
 """
 
 from __future__ import annotations
 
 import io
 import math
-import re
 import zipfile
-from collections.abc import Iterable, Iterator
+import zlib
+from collections.abc import Callable, Iterable, Iterator
+from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual import schemas
@@ -39,13 +41,10 @@ ACTIVITY_FIELDS = {
     "longitude": "MonitoredVehicleJourney.VehicleLocation.Longitude",
     "latitude": "MonitoredVehicleJourney.VehicleLocation.Latitude",
 }
-ACTIVITIES_SCHEMA = (
-    "VehicleActivity array<struct<RecordedAtTime: string, MonitoredVehicleJourney: struct<"
-    "LineRef: string, DirectionRef: string, OperatorRef: string, OriginRef: string, "
-    "DestinationRef: string, OriginAimedDepartureTime: string, VehicleRef: string, "
-    "FramedVehicleJourneyRef: struct<DataFrameRef: string, DatedVehicleJourneyRef: string>, "
-    "VehicleLocation: struct<Longitude: string, Latitude: string>>>>"
-)
+# What a damaged zip or one of its entries raises: bad headers and checksums, streams that are broken or end
+# early, unknown methods, encryption.
+DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, KeyError, NotImplementedError, RuntimeError)
+TASK_BYTES = 64 << 20  # of packed snapshots for one task
 
 
 def archive_path(directory: str, date: str) -> str:
@@ -64,7 +63,8 @@ def _open(path: str):
 
 
 def list_snapshots(spark: SparkSession, archives: dict[str, str]) -> DataFrame:
-    """One row per snapshot of each archive, numbered from 0 in the order of the archive's directory.
+    """One row per snapshot of each archive, numbered from 0 in the order of the archive's directory, with
+    its packed size.
 
     `archives` maps a service date to the path of its archive. Only the directory of a zip is read here.
     """
@@ -73,19 +73,20 @@ def list_snapshots(spark: SparkSession, archives: dict[str, str]) -> DataFrame:
         for batch in batches:
             for source_date, archive in zip(batch["source_date"], batch["archive"]):
                 with _open(archive) as handle, zipfile.ZipFile(handle) as outer:
-                    names = [n for n in outer.namelist() if n.endswith(".zip")]
+                    found = [e for e in outer.infolist() if e.filename.endswith(".zip")]
                 yield pd.DataFrame(
                     {
                         "source_date": source_date,
                         "archive": archive,
-                        "ordinal": pd.Series(range(len(names)), dtype="int64"),
-                        "snapshot_file": pd.Series(names, dtype="object"),
+                        "ordinal": pd.Series(range(len(found)), dtype="int64"),
+                        "snapshot_file": pd.Series([e.filename for e in found], dtype="object"),
+                        "size": pd.Series([e.compress_size for e in found], dtype="int64"),
                     }
                 )
 
     days = spark.createDataFrame(sorted(archives.items()), "source_date string, archive string")
     return days.repartition(len(archives), "archive").mapInPandas(
-        entries, "source_date string, archive string, ordinal bigint, snapshot_file string"
+        entries, "source_date string, archive string, ordinal bigint, snapshot_file string, size bigint"
     )
 
 
@@ -94,78 +95,125 @@ def every_nth(rows: DataFrame, n: int, ordinal: str = "ordinal") -> DataFrame:
     return rows if n <= 1 else rows.where(F.col(ordinal) % n == 0)
 
 
-def _snapshot_xml(packed: bytes) -> str | None:
-    """The text of one packed snapshot, None if it is empty or damaged."""
-    if not packed:
-        return None
+def _snapshot_xml(outer: zipfile.ZipFile, name: str) -> tuple[bytes | None, str | None]:
+    """The document of one packed snapshot, or what is wrong with it. An empty entry is no fault."""
     try:
+        packed = outer.read(name)
+        if not packed:
+            return None, None
         with zipfile.ZipFile(io.BytesIO(packed)) as inner:
-            data = inner.read(SNAPSHOT_MEMBER)
-    except (zipfile.BadZipFile, KeyError):
-        return None
-    declared = re.match(rb"\s*<\?xml[^>]*encoding=[\"']([\w.-]+)", data)
-    try:
-        return data.decode(declared.group(1).decode() if declared else "utf-8-sig")
-    except (LookupError, UnicodeDecodeError):
-        return None
+            return inner.read(SNAPSHOT_MEMBER), None
+    except DAMAGE as fault:
+        return None, f"{type(fault).__name__}: {fault}"
 
 
 def unpack_snapshots(snapshots: DataFrame, partitions: int) -> DataFrame:
-    """`(source_date, snapshot_file, xml)` of the listed entries, unpacked on `partitions` tasks.
+    """`(source_date, snapshot_file, xml, damage)` of the listed entries, unpacked on `partitions` tasks.
 
-    An archive is opened once per batch of entries, and a batch holds entries of one archive as far as
-    sorting them together allows.
+    `xml` holds bytes, null where there are none; `damage` says why. Tasks take ranges of (archive, ordinal),
+    so each opens one archive, or two where a range crosses a border. Listing is done twice if `snapshots`
+    is not a stored table: once for the ranges.
     """
 
-    def unpack(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for archive, part in batch.groupby("archive", sort=False):
-                with _open(archive) as handle, zipfile.ZipFile(handle) as outer:
-                    for source_date, name in zip(part["source_date"], part["snapshot_file"]):
-                        xml = _snapshot_xml(outer.read(name))
-                        if xml is not None:
-                            yield pd.DataFrame(
-                                {"source_date": [source_date], "snapshot_file": [name], "xml": [xml]}
-                            )
+    def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened, handle, outer = None, None, None
+        try:
+            for batch in batches:
+                rows, held = [], 0
+                for row in batch.to_pylist():
+                    if row["archive"] != opened:
+                        if handle is not None:
+                            handle.close()
+                        handle = _open(row["archive"])
+                        opened, outer = row["archive"], zipfile.ZipFile(handle)
+                    xml, damage = _snapshot_xml(outer, row["snapshot_file"])
+                    rows.append((row["source_date"], row["snapshot_file"], xml, damage))
+                    held += len(xml or b"")
+                    if held > TASK_BYTES:
+                        yield packed(rows)
+                        rows, held = [], 0
+                yield packed(rows)
+        finally:
+            if handle is not None:
+                handle.close()
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) if rows else [[], [], [], []]
+        kinds = [pa.string(), pa.string(), pa.binary(), pa.string()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["source_date", "snapshot_file", "xml", "damage"]
+        )
 
     return (
-        snapshots.repartition(partitions, "archive", "ordinal")
+        snapshots.repartitionByRange(partitions, "archive", "ordinal")
         .sortWithinPartitions("archive", "ordinal")
-        .mapInPandas(unpack, "source_date string, snapshot_file string, xml string")
+        .select("source_date", "archive", "snapshot_file")
+        .mapInArrow(unpack, "source_date string, snapshot_file string, xml binary, damage string")
     )
 
 
-def _plain_tags(xml: Column) -> Column:
-    """Comments and namespace prefixes removed; `from_xml` looks names up as they are written."""
-    return F.regexp_replace(F.regexp_replace(xml, r"(?s)<!--.*?-->", ""), r"(</?)[A-Za-z_][\w.-]*:", "$1")
+def damaged_per_day(unpacked: DataFrame) -> DataFrame:
+    """Snapshots of each day, and how many of them could not be unpacked."""
+    return unpacked.groupBy("source_date").agg(
+        F.count(F.lit(1)).alias("snapshots"), F.count("damage").alias("damaged")
+    )
+
+
+def _activities(document: str | bytes) -> list[list[str | None]]:
+    """The values of each activity of a document, in the order of ACTIVITY_FIELDS; none of a malformed one.
+
+    An activity is emptied as soon as it is read. That the document holds together shows only at its end.
+    """
+    space = "{" + NAMESPACE + "}"
+    paths = ["/".join(space + step for step in where.split(".")) for where in ACTIVITY_FIELDS.values()]
+    parser, rows = ElementTree.XMLPullParser(["end"]), []
+    try:
+        for start in range(0, len(document), 1 << 18):
+            parser.feed(document[start : start + (1 << 18)])
+            for _, element in parser.read_events():
+                if element.tag == f"{space}VehicleActivity":
+                    rows.append([(element.findtext(path) or "").strip() or None for path in paths])
+                    element.clear()
+        parser.close()
+    except (ElementTree.ParseError, LookupError, ValueError):
+        return []
+    return rows
 
 
 def explode_activities(documents: DataFrame, xml: str = "xml", area: Area = GREATER_MANCHESTER) -> DataFrame:
     """One row per vehicle activity inside the area; all columns but the document are kept.
 
-    Tolerant: an empty or malformed document gives nothing, nor does an activity without a usable place;
-    any other absent element is NULL. Activities are found at any depth: they are cut out of the document
-    and parsed together, since the parser is costly to start.
+    Documents are text or bytes; bytes say themselves how they are encoded. Tolerant: an empty or malformed
+    document gives nothing, nor does an activity without a usable place; any other absent or empty element
+    is NULL. Activities are found at any depth, under whatever prefix has the feed's namespace.
     """
-    kept = [c for c in documents.columns if c != xml]
-    activity = F.lit(r"(?s)<VehicleActivity(?:\s[^>]*[^>/])?>.*?</VehicleActivity\s*>")
-    cut_out = F.concat(
-        F.lit("<all>"), F.array_join(F.regexp_extract_all("_text", activity, F.lit(0)), ""), F.lit("</all>")
-    )
-    document = F.col(xml)
-    parsed = (
-        documents.where(F.contains(document, F.lit(NAMESPACE)))
-        # Text after the root element goes unnoticed by the parser, hence the look at the end.
-        .where(F.right(document, F.lit(1024)).rlike(r"(?s)</[^<>]+>\s*(?:<!--.*?-->\s*)*$"))
-        .where(F.from_xml(document, "_corrupt_record string")["_corrupt_record"].isNull())
-        .withColumn("_text", _plain_tags(document))
-        .select(*kept, F.explode(F.from_xml(cut_out, ACTIVITIES_SCHEMA)["VehicleActivity"]).alias("_a"))
+    kept = [f for f in documents.schema.fields if f.name != xml]
+
+    def taken_apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            others = [batch.column(f.name) for f in kept]
+            found, owners = [], []
+            for i, document in enumerate(batch.column(xml).to_pylist()):
+                rows = _activities(document) if document else []
+                found += rows
+                owners += [i] * len(rows)
+                if len(found) > 20_000 or i == batch.num_rows - 1:
+                    columns = list(zip(*found)) if found else [[] for _ in ACTIVITY_FIELDS]
+                    at = pa.array(owners, pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [c.take(at) for c in others] + [pa.array(c, pa.string()) for c in columns],
+                        [f.name for f in kept] + [f"_{name}" for name in ACTIVITY_FIELDS],
+                    )
+                    found, owners = [], []
+
+    schema = ", ".join(
+        [f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`_{name}` string" for name in ACTIVITY_FIELDS]
     )
-    # An empty element is an absent value.
-    columns = {name: F.nullif(F.col(f"_a.{where}"), F.lit("")) for name, where in ACTIVITY_FIELDS.items()}
+    values = {name: F.col(f"_{name}") for name in ACTIVITY_FIELDS}
     for axis in ("longitude", "latitude"):
-        columns[axis] = columns[axis].try_cast("double")
-    return parsed.select(*kept, *(value.alias(name) for name, value in columns.items())).where(
+        values[axis] = values[axis].try_cast("double")
+    rows = documents.select(*(f.name for f in kept), xml).mapInArrow(taken_apart, schema)
+    return rows.select(*(f.name for f in kept), *(value.alias(name) for name, value in values.items())).where(
         in_area(F.col("latitude"), F.col("longitude"), area)
     )
 
@@ -176,17 +224,21 @@ def load_positions(
     sample_every_nth: int = 1,
     area: Area = GREATER_MANCHESTER,
     partitions: int | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """Positions of whole days: list, sample, unpack, take apart."""
-    if partitions is None:
-        # A day holds some 2,800 snapshots (one every 30 s); about 16 of them per task.
-        partitions = max(
-            spark.sparkContext.defaultParallelism,
-            math.ceil(len(archives) * 2880 / sample_every_nth / 16),
-        )
+    """Positions of whole days: list, sample, unpack, take apart.
+
+    The number of tasks follows from the listed sizes. `stage` stores the listing, which is then made once.
+    What could not be unpacked is left out here; `damaged_per_day(unpack_snapshots(...))` counts it.
+    """
     chosen = every_nth(list_snapshots(spark, archives), sample_every_nth)
-    rows = explode_activities(unpack_snapshots(chosen, partitions), area=area)
-    return rows.select(*schemas.POSITIONS.fieldNames())
+    if stage is not None:
+        chosen = stage(chosen, "snapshots")
+    if partitions is None:
+        total = chosen.agg(F.sum("size")).first()[0] or 0
+        partitions = max(spark.sparkContext.defaultParallelism, math.ceil(total / TASK_BYTES))
+    unpacked = unpack_snapshots(chosen, partitions).drop("damage")
+    return explode_activities(unpacked, area=area).select(*schemas.POSITIONS.fieldNames())
 
 
 def read_positions(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

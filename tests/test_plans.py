@@ -44,7 +44,7 @@ def test_pings_are_shuffled_once(spark, small):
 
 
 def test_groups_are_combined_before_the_shuffle(spark, small):
-    events = landing.events(spark, small)
+    events = landing.all_events(spark, small)
     for report in (reports.delay_by_hour(events), reports.headline_metrics(events), reports.least_reliable_lines(events)):
         plan = plan_of(report)
         assert "partial_" in plan
@@ -52,13 +52,13 @@ def test_groups_are_combined_before_the_shuffle(spark, small):
 
 
 def test_filters_reach_the_files(spark, small):
-    plan = plan_of(reports.line_summary(landing.events(spark, small), "OP3", 1))
+    plan = plan_of(reports.line_summary(landing.all_events(spark, small), "OP3", 1))
     assert "EqualTo(operator,OP3)" in plan and "(service_date" in plan.split("PartitionFilters")[1]
     assert "stop_lat" not in plan
 
 
 def test_event_ids_need_no_global_sort(spark, small):
-    plan = plan_of(star.fact_delay_event(landing.events(spark, small)))
+    plan = plan_of(star.fact_delay_event(landing.all_events(spark, small)))
     single = [line for line in plan.splitlines() if "Exchange SinglePartition" in line or "hashpartitioning(0" in line]
     assert all("plan_id" in line for line in single) and "rangepartitioning" not in plan
     assert "Window [row_number()" in plan and "hashpartitioning(_bucket" in plan

@@ -121,7 +121,7 @@ def test_a_code_with_two_names_stays_a_key(spark, tables):
 
 
 def test_event_ids_are_dense_and_stable(spark, small):
-    events = landing.events(spark, small)
+    events = landing.all_events(spark, small)
     first = star.fact_delay_event(events)
     row = first.agg(F.count("*"), F.min("event_id"), F.max("event_id"), F.count_distinct("event_id")).first()
     assert row[0] == row[2] == row[3] == events.count() and row[1] == 1
@@ -135,7 +135,7 @@ def test_event_ids_are_dense_and_stable(spark, small):
 
 
 def test_descriptive_statistics(spark, small):
-    events = landing.events(spark, small)
+    events = landing.all_events(spark, small)
     delays = sorted(r.delay_min for r in events.select("delay_min").collect())
     row = distributions.describe_delay(events).first()
     n, mean, sd = len(delays), statistics.fmean(delays), statistics.stdev(delays)
@@ -151,7 +151,7 @@ def test_descriptive_statistics(spark, small):
 
 
 def test_histogram_covers_all_values_of_the_range(spark, small):
-    events = landing.events(spark, small)
+    events = landing.all_events(spark, small)
     bins = distributions.delay_histogram(events).collect()
     assert sum(r.events for r in bins) == events.where("delay_min between -10 and 40").count()
     assert {r.bin for r in bins} <= set(range(50)) and 49 in {r.bin for r in bins}
@@ -173,7 +173,7 @@ def test_correlation_leaves_out_unknown_pairs(spark):
 
 
 def test_report_dictionaries(spark, small):
-    report = jobs.domain_report(landing.events(spark, small))
+    report = jobs.domain_report(landing.all_events(spark, small))
     assert report["service_reliability"].first().events == 879
     assert report["travel_time_variability"].count() == 1
     feed = jobs.feed_report(landing.positions(spark, small), landing.raw_timetable(spark, small))
@@ -181,7 +181,7 @@ def test_report_dictionaries(spark, small):
 
 
 def test_layout(spark, small, tmp_path):
-    events = landing.events(spark, small)
+    events = landing.all_events(spark, small)
     assert layout.spread_by(events, 16, "operator").rdd.getNumPartitions() == 16
     few = layout.enrich_with_group_counts(events)
     text = layout.plan_text(few)
