@@ -24,7 +24,10 @@ from punctual.llm.common import mix, row_key, slices, stored, text_bytes
 
 LAST = (1 << 63) - 1  # stands for a null id, after all others
 POSITION_BITS = 30
-CLASSES_TOGETHER = 256  # an anchor with more classes is compared window by window, with the same outcome
+# The classes of an anchor, some 600 bytes each, are compared in one task up to this number (10 MB); with more
+# of them its windows are spread over all tasks, with the same outcome.
+CLASSES_TOGETHER = 16_384
+TOGETHER = 50_000  # classes of several anchors that are laid out at once
 GAPS = "doc long, key long, name long, cls long, lo int, n int"
 
 # Units of a row of texts, where each text starts (one more: the end) -> what `gaps_of` needs.
@@ -121,8 +124,14 @@ def _settle(earlier: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(0, batch.num_rows, 1000):
-                yield _settled(batch.slice(first, 1000), earlier)
+            if not batch.num_rows:
+                continue
+            ends, first = np.cumsum(np.diff(np.asarray(batch.column("classes").offsets))), 0
+            while first < batch.num_rows:
+                before = ends[first - 1] if first else 0
+                stop = max(first + 1, int(np.searchsorted(ends, before + TOGETHER, side="right")))
+                yield _settled(batch.slice(first, stop - first), earlier)
+                first = stop
 
     return run
 
