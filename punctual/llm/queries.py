@@ -22,4 +22,4 @@ QUERIES: dict[str, Query] = {
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_mixing": mixing.query,
 }
-ORACLES: dict[str, str] = {"op10_mixing": mixing.oracle()}
+ORACLES: dict[str, str] = {"op3_recompression": recompression.ORACLE, "op9_suffix_dedup": suffix_dedup.ORACLE, "op10_mixing": mixing.oracle()}

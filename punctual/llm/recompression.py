@@ -184,3 +184,18 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digests(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+ORACLE = f"""
+with words as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as pos from (
+    select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents)),
+windows as (select doc_id, pos, word, count(*) over w as n, md5(string_agg(word, ' ') over w) as h from words
+    window w as (partition by doc_id order by pos rows between current row and {WINDOW - 1} following)),
+firsts as (select h, min(doc_id) as first_doc from windows where n = {WINDOW} group by h),
+ends as (select w.doc_id, w.pos, w.word, max(coalesce(cast(f.first_doc < w.doc_id as int), 0)) over (
+    partition by w.doc_id order by w.pos rows between {WINDOW - 1} preceding and current row) as gone
+    from windows w left join firsts f on w.n = {WINDOW} and f.h = w.h)
+select d.doc_id, count(e.pos) as n_words, cast(coalesce(sum(e.gone), 0) as bigint) as n_removed,
+    sha256(coalesce(string_agg(e.word, ' ' order by e.pos) filter (where e.gone = 0), '')) as kept_sha256
+from documents d left join ends e using (doc_id) group by d.doc_id
+"""

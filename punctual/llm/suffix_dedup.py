@@ -110,3 +110,21 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digests(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+ORACLE = f"""
+with texts as (select doc_id, hex(encode(coalesce(text, ''))) as t from documents),
+chunks as (select doc_id, c, substr(t, 400 * c + 1, {400 + 2 * WINDOW}) as s from (
+    select doc_id, t, unnest(range((length(t) + 399) // 400)) as c from texts)),
+places as (select doc_id, c, s, unnest(range(least(200, length(s) // 2))) as i from chunks),
+windows as (select doc_id, 200 * c + i as pos, substr(s, 2 * i + 1, 2) as byte,
+    case when 2 * i + {2 * WINDOW} <= length(s) then md5(substr(s, 2 * i + 1, {2 * WINDOW})) end as h from places),
+repeated as (select h from windows where h is not null group by h having count(*) > 1),
+marked as (select w.doc_id, w.pos, w.byte, max(cast(r.h is not null as int)) over (
+    partition by w.doc_id order by w.pos rows between {WINDOW - 1} preceding and current row) as gone
+    from windows w left join repeated r on r.h = w.h),
+runs as (select *, case when gone = 1 and coalesce(lag(gone) over (partition by doc_id order by pos), 0) = 0 then 1 else 0 end as begins from marked)
+select d.doc_id, count(m.pos) as n_bytes, cast(coalesce(sum(m.gone), 0) as bigint) as n_removed, cast(coalesce(sum(m.begins), 0) as bigint) as n_spans,
+    sha256(unhex(coalesce(string_agg(m.byte, '' order by m.pos) filter (where m.gone = 0), ''))) as kept_sha256
+from documents d left join runs m using (doc_id) group by d.doc_id
+"""
