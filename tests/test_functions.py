@@ -50,21 +50,13 @@ def test_sched_hour_wraps(spark):
     assert got == [0, 0, 1, 23, 0, 1]
 
 
-@pytest.mark.parametrize(
-    "lat, lon, inside",
-    [
-        (53.477, -2.230, True),
-        (51.507, -0.128, False),  # London
-        (53.408, -2.991, False),  # Liverpool
-        (53.796, -1.548, False),  # Leeds
-        (GM.lat_min, GM.lon_min, True),
-        (GM.lat_max, GM.lon_max, True),
-        (GM.lat_min - 0.01, GM.lon_min, False),
-        (GM.lat_max, GM.lon_max + 0.01, False),
-    ],
-)
-def test_area(spark, lat, lon, inside):
-    assert one(spark, geo.in_area(F.lit(lat), F.lit(lon))) is inside
+@pytest.mark.parametrize("up", [-0.1, 0.0, 0.5, 1.0, 1.1])
+@pytest.mark.parametrize("along", [-0.1, 0.0, 0.5, 1.0, 1.1])
+def test_area(spark, up, along):
+    """Points at shares of the box's height and width; its edges belong to it."""
+    lat = GM.lat_max if up == 1.0 else GM.lat_min + up * (GM.lat_max - GM.lat_min)
+    lon = GM.lon_max if along == 1.0 else GM.lon_min + along * (GM.lon_max - GM.lon_min)
+    assert one(spark, geo.in_area(F.lit(lat), F.lit(lon))) is (0 <= up <= 1 and 0 <= along <= 1)
 
 
 def test_haversine(spark):

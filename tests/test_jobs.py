@@ -38,7 +38,7 @@ def lake(spark, small, tmp_path_factory):
     (root / "raw" / "positions").mkdir()
     feed = landing.raw_timetable(spark, small)
     for field in fields(Timetable):
-        frame = getattr(feed, field.name).toPandas()
+        frame = getattr(feed, field.name).toPandas().convert_dtypes()  # keeps whole numbers beside nulls
         frame = frame[list(reversed(frame.columns))]  # feeds order their columns as they like
         frame.to_csv(root / "raw" / "timetable" / f"{field.name}.txt", index=False)
     for date in DATES:

@@ -52,7 +52,8 @@ def test_groups_are_combined_before_the_shuffle(spark, small):
 
 
 def test_filters_reach_the_files(spark, small):
-    plan = plan_of(reports.line_summary(landing.all_events(spark, small), "OP3", 1))
+    day = landing.all_events(spark, small).where("service_date = '20260701'")
+    plan = plan_of(reports.line_summary(day, "OP3", 1))
     assert "EqualTo(operator,OP3)" in plan and "(service_date" in plan.split("PartitionFilters")[1]
     assert "stop_lat" not in plan
 
@@ -73,6 +74,8 @@ def test_stage_reads_back_the_same_rows(spark, small):
     run = landing.reconstruction(spark, small)
     stored = run.events
     assert "FileScan parquet" in plan_of(stored)
+    plan = plan_of(matching.nearest_pings(run.candidates))
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
     lazy = Reconstruction(run.feed, run.positions, run.service_dates).events
     assert stored.exceptAll(lazy).count() == 0 == lazy.exceptAll(stored).count()
     assert stored.where(F.col("delay_min").isNull()).count() == 0

@@ -44,28 +44,22 @@ def test_undeclared_csv_is_all_text(spark, tmp_path):
 # ------------------------------------------------------------------------------------------- positions
 
 
-def element(name, content, prefix=""):
-    """XML of nested (name, content) pairs, every tag with the prefix."""
-    tag = f"{prefix}:{name}" if prefix else name
-    inner = content if isinstance(content, str) else "".join(element(n, c, prefix) for n, c in content)
-    return f"<{tag}>{inner}</{tag}>"
-
-
-def siri(lat=53.477, lon=-2.230, place=True, prefix="", namespace=NS):
-    journey = [
-        ("OperatorRef", "ACME"),
-        ("LineRef", "X5"),
-        ("DirectionRef", "outbound"),
-        ("VehicleRef", "BUS-7"),
-        ("OriginAimedDepartureTime", "2026-07-01T08:30:00+00:00"),
-        ("FramedVehicleJourneyRef", [("DatedVehicleJourneyRef", "J77"), ("DataFrameRef", "2026-07-01")]),
-    ]
-    if place:
-        journey.append(("VehicleLocation", [("Latitude", str(lat)), ("Longitude", str(lon))]))
-    activity = [("MonitoredVehicleJourney", journey), ("RecordedAtTime", "2026-07-01T09:00:00+00:00")]
-    root = [("ServiceDelivery", [("VehicleMonitoringDelivery", [("VehicleActivity", activity)])])]
-    xmlns = f" xmlns:{prefix}" if prefix else " xmlns"
-    return element("Siri", root, prefix).replace("Siri>", f'Siri{xmlns}="{namespace}">', 1)
+PLACE = "<VehicleLocation><Longitude>{lon}</Longitude><Latitude>{lat}</Latitude></VehicleLocation>"
+
+
+def document(activities, head="", tail="", opening=f'<Siri xmlns="{NS}">', closing="</Siri>"):
+    return f"{head}{opening}{activities}{closing}{tail}"
+
+
+def activity(lat="53.5", lon="-2.3", line="12", tag="VehicleActivity", place=PLACE):
+    """As little as a position needs, at no particular depth."""
+    where = place.format(lat=lat, lon=lon)
+    journey = f"<MonitoredVehicleJourney><LineRef>{line}</LineRef>{where}</MonitoredVehicleJourney>"
+    return f"<{tag}><RecordedAtTime>2026-07-01T05:00:00Z</RecordedAtTime>{journey}</VehicleActivity>"
+
+
+def siri(**values):
+    return document(activity(**values))
 
 
 def snapshot(xml, member="siri.xml"):
@@ -88,62 +82,126 @@ def load(spark, tmp_path, payload, **options):
     return positions.load_positions(spark, {"20260701": path}, partitions=1, **options).collect()
 
 
-def test_position_inside_the_area(spark, tmp_path):
-    (row,) = load(spark, tmp_path, snapshot(siri()))
-    assert row.asDict() == {
-        "recorded_at": "2026-07-01T09:00:00+00:00", "line_ref": "X5", "direction_ref": "outbound",
-        "operator_ref": "ACME", "origin_ref": None, "destination_ref": None,
-        "origin_aimed_departure": "2026-07-01T08:30:00+00:00", "dated_vehicle_journey_ref": "J77",
-        "data_frame_ref": "2026-07-01", "vehicle_ref": "BUS-7", "longitude": -2.23, "latitude": 53.477,
-        "snapshot_file": "snap.zip", "source_date": "20260701",
-    }
+def test_all_columns_of_a_position(spark, tmp_path):
+    """A document made from the list of fields: each path gets a text of its own."""
+    inside = {"longitude": "-2.3", "latitude": "53.5"}
+    tree = {}
+    for name, where in positions.ACTIVITY_FIELDS.items():
+        node = tree
+        *steps, last = where.split(".")
+        for step in steps:
+            node = node.setdefault(step, {})
+        node[last] = inside.get(name, f" {name} & more ")
+
+    def text(node):
+        return "".join(f"<{k}>{text(v) if isinstance(v, dict) else v.replace('&', '&amp;')}</{k}>" for k, v in node.items())
+
+    (row,) = load(spark, tmp_path, snapshot(document(f"<VehicleActivity>{text(tree)}</VehicleActivity>")))
+    expected = {name: float(inside[name]) if name in inside else f"{name} & more" for name in positions.ACTIVITY_FIELDS}
+    assert row.asDict() == expected | {"snapshot_file": "snap.zip", "source_date": "20260701"}
+
+
+LONG = "filler " * 1500
+WELL_FORMED = {
+    "comment after": dict(tail=f"<!--{LONG}-->"),
+    "blanks after": dict(tail="\n" * 12_000),
+    "instruction after": dict(tail=f"<?done {LONG}?>"),
+    "all of them": dict(tail=f"<?a?>\n<!--{LONG}-->\n<?b {LONG}?> "),
+    "declared": dict(head='<?xml version="1.0" encoding="UTF-8"?>'),
+    "prefix": dict(opening=f'<q:Siri xmlns:q="{NS}" xmlns="{NS}">', closing="</q:Siri>"),
+    "nested": dict(opening=f'<Siri xmlns="{NS}">' + "<More>" * 30, closing="</More>" * 30 + "</Siri>"),
+    "foreign root": dict(opening=f'<All xmlns="urn:all"><Siri xmlns="{NS}">', closing="</Siri></All>"),
+}
+TAGS = ["VehicleActivity", "VehicleActivity ", "VehicleActivity\n", "VehicleActivity note='a > b'", f'VehicleActivity x="{LONG}"']
+
+
+def lines_of(spark, *documents, kind="string"):
+    frame = spark.createDataFrame([(i, d) for i, d in enumerate(documents)], f"k int, xml {kind}")
+    return sorted((r.k, r.line_ref) for r in positions.explode_activities(frame).collect())
+
+
+@pytest.mark.parametrize("variant", WELL_FORMED)
+def test_well_formed_documents_lose_nothing(spark, variant):
+    made = [document("".join(activity(line=str(i), tag=tag) for i, tag in enumerate(TAGS)), **WELL_FORMED[variant])]
+    assert lines_of(spark, *made) == [(0, str(i)) for i in range(len(TAGS))]
+
+
+def test_content_that_only_looks_like_markup(spark):
+    cases = [
+        activity(line="<![CDATA[<b>]]>"), activity(line="A&amp;B"), activity(line=""), activity(line="4<!-- not -->2"),
+        "<!-- " + activity() + " -->" + activity(line="real"),
+    ]
+    assert lines_of(spark, *map(document, cases)) == [(0, "<b>"), (1, "A&B"), (2, None), (3, "42"), (4, "real")]
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "utf-8-sig", "utf-16", "iso-8859-1"])
+def test_encodings(spark, tmp_path, encoding):
+    declared = "utf-8" if encoding == "utf-8-sig" else encoding
+    text = document(activity(line="Zürich é"), head=f'<?xml version="1.0" encoding="{declared}"?>')
+    (row,) = load(spark, tmp_path, snapshot(text.encode(encoding)))
+    assert row.line_ref == "Zürich é"
 
 
 @pytest.mark.parametrize(
     "payload",
     [
-        snapshot(siri(51.507, -0.128)),  # London
-        b"",
-        b"this is not a zip file",
-        snapshot(siri(), member="other.xml"),
-        snapshot(siri(place=False)),
-        snapshot(siri(lat="north")),
-        snapshot(siri()[:-9]),
-        snapshot(siri() + "<a"),
-        snapshot(siri(namespace="urn:other")),
-        snapshot(""),
+        snapshot(siri(lat="53.0")), snapshot(siri(lon="-1.0")), b"", b"PK no zip at all", snapshot(siri(), member="else.xml"),
+        snapshot(siri(place="")), snapshot(siri(lat="up there")), snapshot(siri(lon="")), snapshot(siri()[:-3]),
+        snapshot(siri() + "<again/>"), snapshot(siri() + "words"), snapshot(document(activity(), opening=f'<Siri xmlns="urn:no" was="{NS}">')),
+        snapshot(siri().replace(f' xmlns="{NS}"', "")), snapshot(""), snapshot(b"\xff\xfe\x00"),
     ],
-    ids=["outside", "empty", "no zip", "no member", "no place", "no number", "cut", "tail", "namespace", "no text"],
 )
 def test_unusable_snapshots_give_nothing(spark, tmp_path, payload):
     assert load(spark, tmp_path, payload) == []
 
 
-def test_a_bad_snapshot_does_not_stop_the_day(spark, tmp_path):
-    path = archive(tmp_path, "20260701", {"a.zip": b"", "b.zip": snapshot(siri()), "readme.txt": "x", "c.zip": b"junk"})
-    got = positions.load_positions(spark, {"20260701": path}, partitions=2).collect()
-    assert [r.snapshot_file for r in got] == ["b.zip"]
-
-
-def test_xml_variants(spark):
-    body = siri()
-    documents = {
-        "prefix": siri(prefix="s"),
-        "declared": '<?xml version="1.0" encoding="UTF-8"?>\n' + body,
-        "comment": body.replace("<VehicleActivity>", "<!-- <VehicleActivity> --><VehicleActivity>") + "<!-- end -->\n",
-        "attribute": body.replace("<LineRef>", "<LineRef a='1'>").replace("<VehicleActivity>", "<VehicleActivity b='2'>"),
-        "deep": body.replace("<ServiceDelivery>", "<ServiceDelivery><More>").replace("</ServiceDelivery>", "</More></ServiceDelivery>"),
-    }
-    frame = spark.createDataFrame(list(documents.items()), "k string, xml string")
-    got = rows_of(positions.explode_activities(frame), "k", "line_ref", "latitude")
-    assert got == sorted((k, "X5", 53.477) for k in documents)
-    escaped = spark.createDataFrame([(body.replace(">X5<", ">A&amp;B<"),), (body.replace(">X5<", "><"),)], "xml string")
-    assert {r.line_ref for r in positions.explode_activities(escaped).collect()} == {"A&B", None}
+def damaged_entries():
+    """A good snapshot with a broken stream inside, and one whose stored bytes no longer fit their checksum."""
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as inner:
+        inner.writestr("siri.xml", siri() * 3)
+    broken = bytearray(packed.getvalue())
+    start = 30 + len("siri.xml")
+    broken[start : start + 12] = b"\xff" * 12
+    return bytes(broken)
+
+
+def test_damaged_entries_do_not_stop_the_day_and_are_counted(spark, tmp_path):
+    good = snapshot(siri(line="good"))
+    marked = snapshot(siri(line="changed later"))
+    path = archive(tmp_path, "20260701", {"1.zip": good, "2.zip": damaged_entries(), "3.zip": marked, "4.zip": b"", "notes.txt": "x", "5.zip": good})
+    data = open(path, "rb").read()
+    at = data.index(marked)
+    with open(path, "wb") as out:  # the outer checksum of 3.zip fails
+        out.write(data[:at] + bytes([data[at] ^ 1]) + data[at + 1 :])
+    archives = {"20260701": path}
+    assert sorted(r.snapshot_file for r in positions.load_positions(spark, archives, partitions=2).collect()) == ["1.zip", "5.zip"]
+    unpacked = positions.unpack_snapshots(positions.list_snapshots(spark, archives), 2)
+    assert [tuple(r) for r in positions.damaged_per_day(unpacked).collect()] == [("20260701", 5, 2)]
+
+
+def test_tasks_take_ranges_of_archives(spark, tmp_path):
+    archives = {}
+    for day in ("20260629", "20260630", "20260701"):
+        archives[day] = archive(tmp_path, day, {f"{i:03}.zip": snapshot(siri(line=str(i))) for i in range(40)})
+    listing = spark.createDataFrame(positions.list_snapshots(spark, archives).collect())
+    rows = positions.unpack_snapshots(listing, 4).select("source_date", "snapshot_file", F.spark_partition_id().alias("task")).collect()
+    assert len(rows) == 120
+    days = {}
+    for r in rows:
+        days.setdefault(r.task, set()).add(r.source_date)
+    # borders of ranges come from a sample, so a range may reach into the next archive, but no further
+    assert 2 <= len(days) <= 4 and sum(map(len, days.values())) <= 3 + len(days) - 1
+    path = str(tmp_path / "stored")
+    sinks.replace_days(positions.load_positions(spark, archives, partitions=4), path)
+    files = list((tmp_path / "stored").glob("source_date=*/*.parquet"))
+    assert len(files) <= 3 + 4 - 1
+    assert positions.read_positions(spark, path).count() == 120
 
 
 def test_systematic_sample_counts_from_the_first_entry(spark, tmp_path):
     names = [f"{i:02}.zip" for i in (5, 3, 9, 1, 7)]
-    path = archive(tmp_path, "20260701", {n: snapshot(siri()) for n in names})
+    path = archive(tmp_path, "20260701", {n: snapshot(siri(line=n)) for n in names})
     listed = positions.list_snapshots(spark, {"20260701": path})
     assert rows_of(listed, "ordinal", "snapshot_file") == list(enumerate(names))
     got = positions.load_positions(spark, {"20260701": path}, sample_every_nth=2, partitions=2)
