@@ -98,13 +98,17 @@ class Recompressor:
 
         here = np.arange(n)
         text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        level = Level(words, here, here, here + 1, text)
-        anchor, names = self.chosen(level, here, 0)
+        levels = [Level(words, here, here, here + 1, text)]
         for turn in range(ROUNDS):
-            level = (level.runs(bounds) if turn in RUN_ROUNDS else level).pairs(turn, bounds)
-            place, name = self.chosen(level, here, turn + 1)
-            better = place >= 0
-            anchor[better], names[better] = place[better], name[better]
+            level = levels[-1]
+            levels.append((level.runs(bounds) if turn in RUN_ROUNDS else level).pairs(turn, bounds))
+        # windows that hold no symbol of a level go on to the one below; a word is decided by itself
+        anchor, names, rest = np.zeros(n, np.int64), np.zeros(n, np.uint64), here
+        for number in reversed(range(len(levels))):
+            place, name = self.chosen(levels[number], rest, number)
+            found = place >= 0
+            anchor[rest[found]], names[rest[found]] = place[found], name[found]
+            rest = rest[~found]
         return Scanned(bounds, WINDOW, anchor, names, window_names)
 
     @staticmethod

@@ -170,8 +170,9 @@ def repeated_windows(gaps: DataFrame, texts: DataFrame, make_scan: Callable[[],
     earlier: a window counts if it also starts in a row of a smaller id. Otherwise it counts if it starts
     anywhere else, the same row included. `gaps` is read twice and should be a stored table.
     """
-    names = gaps.groupBy("name").agg(F.count("*").alias("total"), F.min("cls").alias("a"), F.max("cls").alias("b"), F.min("doc").alias("least"))
-    names = names.where("total > 1").select("name", (F.col("a") != F.col("b")).alias("several"), "least")
+    least = [F.min("doc").alias("least")] if earlier else []
+    names = gaps.groupBy("name").agg(F.count("*").alias("total"), F.min("cls").alias("a"), F.max("cls").alias("b"), *least)
+    names = names.where("total > 1").withColumn("several", F.col("a") != F.col("b")).drop("total", "a", "b")
     met = stored(gaps.join(names, "name"), "gaps-met")
     # an anchor with one class: all its windows are repeated
     alone = met.where("not several" + (" and least < doc" if earlier else ""))
