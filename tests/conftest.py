@@ -11,9 +11,16 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_session(
-        "punctual-tests", "local[4]", 4, **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+        "punctual-tests",
+        "local[4]",
+        4,
+        **{
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
