@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Hashable, Sequence
 
-PAIRS_KEPT = 400_000
+PAIRS_KEPT = 400_000  # in each of two generations
 
 
 class MergeRule:
@@ -18,6 +18,7 @@ class MergeRule:
     def __init__(self, rank: dict[Hashable, float]):
         self.rank = rank
         self.known: dict = {}
+        self.before: dict = {}
 
     def merged(self, symbols: Sequence) -> list:
         """The encoding of a short text, by its definition: the best pair merges, the leftmost of equals."""
@@ -39,8 +40,11 @@ class MergeRule:
         found = self.known.get(key)
         if found is None:
             if len(self.known) > PAIRS_KEPT:
-                self.known.clear()
-            found = self.known[key] = self._suits(left, right)
+                self.before, self.known = self.known, {}
+            found = self.before.get(key)
+            if found is None:
+                found = self._suits(left, right)
+            self.known[key] = found
         return found
 
     def _suits(self, left, right) -> bool:

@@ -107,11 +107,12 @@ def mix(*parts: np.ndarray) -> np.ndarray:
 class PieceCache:
     """Values of pieces of text that recur: each piece is worked out once per worker.
 
-    `compute` takes distinct pieces and returns an array or a list of numbers per piece. Holds `limit` pieces, then
-    starts anew; the limit bounds memory only, no result depends on it.
+    `compute` takes distinct pieces and returns an array or a list of numbers per piece. After `limit` pieces a
+    new generation begins; a piece that is met again is taken over from the one before, which then goes. The
+    limit bounds memory only, no result depends on it.
     """
 
-    def __init__(self, compute: Callable[[list], Sequence[np.ndarray]], limit: int = 600_000, dtype=np.int32):
+    def __init__(self, compute: Callable[[list], Sequence[np.ndarray]], limit: int = 400_000, dtype=np.int32):
         self.compute, self.limit, self.dtype = compute, limit, dtype
         self.clear()
 
@@ -121,22 +122,33 @@ class PieceCache:
         self.lengths = np.zeros(1 << 16, np.int64)
         self.flat = np.zeros(1 << 18, self.dtype)
         self.used = 0
+        self.before: tuple | None = None
+
+    def _next_generation(self) -> None:
+        before = (self.index, self.starts, self.lengths, self.flat)
+        self.clear()
+        self.before = before
 
     def places(self, pieces: list) -> np.ndarray:
         if len(self.index) > self.limit:
-            self.clear()
+            self._next_generation()
         get = self.index.get
-        found = [get(piece, -1) for piece in pieces]
-        places = np.array(found, dtype=np.int64)
+        places = np.array([get(piece, -1) for piece in pieces], dtype=np.int64)
         missing = np.flatnonzero(places < 0)
         if missing.size:
-            self._add(list(dict.fromkeys([pieces[i] for i in missing])))
+            new = list(dict.fromkeys([pieces[i] for i in missing]))
+            if self.before is not None:
+                known, starts, lengths, flat = self.before
+                old = [p for p in new if p in known]
+                at = [known[p] for p in old]
+                self._add(old, [flat[starts[i] : starts[i] + lengths[i]] for i in at])
+                new = [p for p in new if p not in known]
+            self._add(new, self.compute(new) if new else [])
             index = self.index
             places[missing] = [index[pieces[i]] for i in missing]
         return places
 
-    def _add(self, new: list) -> None:
-        values = self.compute(new)
+    def _add(self, new: list, values: Sequence) -> None:
         first = len(self.index)
         self.index.update(zip(new, range(first, first + len(new)), strict=True))
         lengths = np.fromiter(map(len, values), np.int64, len(values))

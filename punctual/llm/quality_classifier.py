@@ -54,7 +54,7 @@ class Featurizer:
     def __init__(self):
         from xxhash import xxh32_intdigest
 
-        self.cache = PieceCache(lambda words: np.array([xxh32_intdigest(w) % WORD_BUCKETS for w in words], np.int32)[:, None], limit=500_000)
+        self.cache = PieceCache(lambda words: np.array([xxh32_intdigest(w) % WORD_BUCKETS for w in words], np.int32)[:, None], limit=350_000)
         self.kinds = _char_classes()
 
     def __call__(self, column: pa.Array, stored: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

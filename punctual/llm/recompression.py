@@ -79,7 +79,7 @@ class Recompressor:
         def names(words: list[bytes]) -> np.ndarray:
             return np.array([xxh3_64_intdigest(w) for w in words], np.uint64)[:, None]
 
-        self.cache = PieceCache(names, limit=500_000, dtype=np.uint64)
+        self.cache = PieceCache(names, limit=350_000, dtype=np.uint64)
 
     def __call__(self, column: pa.Array) -> Scanned:
         split = [t.split() for t in column.to_pylist()]

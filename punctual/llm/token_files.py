@@ -25,7 +25,7 @@ ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 500
 FILE_SCHEMA = "part int, local_start long, n_tokens int, ids array<int>"
-WORDS_KEPT = 300_000
+WORDS_KEPT = 250_000
 PARTS_KEPT = 400_000
 # Latin-1 letters, single digits and other signs of ASCII: the same cuts as the tokenizer's own pattern makes
 PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
