@@ -1,8 +1,8 @@
 """Operator 6: SentencePiece encoding and decoding by suffix-array matching.
 
 Text is normalised by the model's own rules and cut where no piece of the vocabulary can cross (in front of a
-blank's mark that follows other text, around line ends). The stretches of a batch that a worker has not met yet
-are joined to one text; its suffix array is built as deep as the longest piece; a binary search of every piece
+blank's mark that follows other text, around line ends, between letters that no piece holds side by side). The
+parts of a batch that a worker has not met yet are joined to one text; its suffix array is built as deep as the longest piece; a binary search of every piece
 gives its range of occurrences. Each occurrence is an edge from its first to its last place. The edges, sorted by
 position, are relaxed once from left to right.
 
@@ -12,12 +12,12 @@ that may follow the token its start was reached by. Exactly one can, and the res
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +26,7 @@ from punctual.llm.common import PieceCache, slices, sums_by_row, table, text_byt
 
 MARK = "▁"
 INDEXED_CHARACTERS = 200_000
+PARTS_KEPT = 300_000
 _WORKER: dict = {}
 
 
@@ -45,7 +46,7 @@ class PieceCodec:
         if any(MARK in name.lstrip(MARK) for name in self.id_of):
             raise ValueError("pieces of this model cross blanks; its texts cannot be cut there")
         apart = "".join(c for c in "\n\t\r" if not any(c in name for name in self.id_of))
-        self.stretch = regex.compile(f"{MARK}+[^{MARK}{apart}]*|[^{MARK}{apart}]+|[{apart}]" if apart else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+        self.stretch = re.compile(f"{MARK}+[^{MARK}{apart}]*|[^{MARK}{apart}]+|[{apart}]" if apart else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         letters = sorted({c for name in self.id_of for c in name})
         self.letter = np.zeros(0x110001, ">u2")
         self.letter[[ord(c) for c in letters]] = np.arange(2, len(letters) + 2)
@@ -57,7 +58,11 @@ class PieceCodec:
         high[low == 0] = 0xFFFF
         self.low, self.high = self._keys(low), self._keys(high)
         self.lengths = np.array([len(name) for name in self.pieces])
-        self.cache = PieceCache(self._encode_stretches, limit=500_000)
+        beside = {(ord(a), ord(b)) for name in self.id_of for a, b in zip(name[:-1], name[1:], strict=True)}
+        left, right = (self.letter[list(side)].astype(np.int64) for side in zip(*beside, strict=True))
+        self.pairs = np.sort(left << 16 | right)
+        self.parts: dict[str, list[int]] = {}
+        self.cache = PieceCache(self._encode_stretches, limit=350_000)
         self.decoded = [self._shown(i, names[i]) for i in range(size)]
 
     def _shown(self, i: int, name: str) -> bytes:
@@ -88,17 +93,36 @@ class PieceCodec:
         order = np.lexsort((start, end))
         return start[order], end[order], piece[order]
 
-    def _encode_stretches(self, stretches: list[str]) -> list[np.ndarray]:
-        out, some, size = [], [], 0
-        for stretch in stretches:
-            some.append(stretch)
-            size += len(stretch) + 1
+    def _encode_stretches(self, stretches: list[str]) -> list[list[int]]:
+        """By parts: two neighbours that no piece holds side by side cannot end up in one token."""
+        if len(self.parts) > PARTS_KEPT:
+            self.parts.clear()
+        text = "\x00".join(stretches) + "\x00"
+        ends = np.cumsum([len(s) + 1 for s in stretches]) - 1  # the places of the separators
+        letters = self.letter[np.frombuffer(text.encode("utf-32-le"), np.uint32)].astype(np.int64)
+        pairs = letters[:-1] << 16 | letters[1:]
+        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        starts = np.concatenate([[0], np.flatnonzero(self.pairs[at] != pairs) + 1])
+        stops = np.concatenate([starts[1:], [len(text)]])
+        inside = ~np.isin(starts, ends)
+        starts, stops = starts[inside], stops[inside]
+        parts = [text[a:b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+        known = self.parts
+        new = [p for p in dict.fromkeys(parts) if p not in known]
+        some, size = [], 0
+        for part in new:
+            some.append(part)
+            size += len(part) + 1
             if size > INDEXED_CHARACTERS:
-                out += self._relaxed(some)
+                known.update(zip(some, self._relaxed(some), strict=True))
                 some, size = [], 0
-        return out + (self._relaxed(some) if some else [])
+        if some:
+            known.update(zip(some, self._relaxed(some), strict=True))
+        counts = np.bincount(np.searchsorted(ends, starts), minlength=len(stretches))
+        bounds = np.concatenate([[0], np.cumsum(counts)]).tolist()
+        return [known[parts[a]] if b == a + 1 else [i for p in parts[a:b] for i in known[p]] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
-    def _relaxed(self, stretches: list[str]) -> list[np.ndarray]:
+    def _relaxed(self, stretches: list[str]) -> list[list[int]]:
         text = "\x00".join(stretches) + "\x00"
         starts, ends, pieces = (x.tolist() for x in self.edges(text))
         n, names, suits, ids = len(text), self.pieces, self.rule.suits, self.id_of
@@ -132,7 +156,7 @@ class PieceCodec:
                 else:
                     found.append(self.unknown)
                 here = came[here]
-            out.append(np.array(found[::-1], np.int32))
+            out.append(found[::-1])
             place = stop + 1
         return out
 
