@@ -173,6 +173,8 @@ def repeated_windows(gaps: DataFrame, texts: DataFrame, make_scan: Callable[[],
     least = [F.min("doc").alias("least")] if earlier else []
     names = gaps.groupBy("name").agg(F.count("*").alias("total"), F.min("cls").alias("a"), F.max("cls").alias("b"), *least)
     names = names.where("total > 1").withColumn("several", F.col("a") != F.col("b")).drop("total", "a", "b")
+    # stored, so that the join deals out both sides anew and a name with very many gaps can be split
+    names = stored(names, "anchor-names")
     met = stored(gaps.join(names, "name"), "gaps-met")
     # an anchor with one class: all its windows are repeated
     alone = met.where("not several" + (" and least < doc" if earlier else ""))
