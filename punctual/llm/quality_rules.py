@@ -130,19 +130,19 @@ def _mean_ratio(tokens: Column, weights: Column) -> Column:
 
 
 def judged(docs: DataFrame, weights: list[int], text_column: str = "text", min_ratio: float = MIN_RATIO) -> DataFrame:
-    """docs with the struct column `_quality`: base counts, base_failed, log_ratio (nats) and kept."""
+    """docs with the struct column `_quality`: base counts, base_failed, kept and log_ratio (nats)."""
     text = F.coalesce(F.col(text_column), F.lit(""))
     table_ = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")
     counted = docs.withColumn("_base", base_counts(text)).withColumn("_ratio", _mean_ratio(tokens_of(text), table_))
     b = lambda name: F.col("_base")[name]
     failed = (b("n_words") < MIN_WORDS) | (100 * b("n_repeat_words") > MAX_REPEATED * b("n_words"))
     kept = ~failed & (F.col("_ratio") >= min_ratio * UNIT)
-    quality = F.struct(*[b(c).alias(c) for c in BASE], failed.alias("base_failed"), (F.col("_ratio") / UNIT).alias("log_ratio"), kept.alias("kept"))
+    quality = F.struct(*[b(c).alias(c) for c in BASE], failed.alias("base_failed"), kept.alias("kept"), (F.col("_ratio") / UNIT).alias("log_ratio"))
     return counted.withColumn("_quality", quality).drop("_base", "_ratio")
 
 
 def quality_rules(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_ratio: float = MIN_RATIO) -> DataFrame:
-    """id, the base counts, base_failed, log_ratio and kept of every row of docs.
+    """id, the base counts, base_failed, kept and log_ratio of every row of docs.
 
     trusted: one column of ids of documents that the target multinomial is made of; ids without a document and
     repeated ids change nothing; if no trusted document has a token, only the base rules judge. A null text is
