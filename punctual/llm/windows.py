@@ -99,12 +99,24 @@ def gaps_of(texts: DataFrame, make_scan: Callable[[], Callable], limit: int = 1
     return texts.select("doc", "key", "text").mapInArrow(run, GAPS)
 
 
+def _first_of_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of repeated rows, which have the same text and the same spots, one for each task."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        new = []
+        for at, key in enumerate(zip(batch.column("doc").to_pylist(), batch.column("key").to_pylist(), strict=True)):
+            if key not in seen:
+                seen.add(key)
+                new.append(at)
+        yield batch if len(new) == batch.num_rows else batch.take(pa.array(new, pa.int64()))
+
+
 def _bodies(make_scan: Callable[[], Callable], limit: int):
     """Texts with their spots (lo, n, name, cls, value, copies) to one row per spot with `windows`, the names of its windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = make_scan()
-        for batch in slices(batches, limit=limit):
+        for batch in slices(_first_of_key(batches), limit=limit):
             scanned, spots = scan(batch.column("text")), batch.column("spots")
             per_text = np.diff(np.asarray(spots.offsets))
             flat = spots.flatten()
@@ -182,19 +194,21 @@ def repeated_windows(gaps: DataFrame, texts: DataFrame, make_scan: Callable[[],
     # with several classes: the windows of one gap of each are compared
     several = met.where("several").select("doc", "key", "name", "cls", "lo", "n")
     value = F.min("doc") if earlier else F.count("*")
-    classes = several.groupBy("name", "cls").agg(value.alias("value"), F.count("*").alias("copies"), F.min("key").alias("rep"))
+    # one spot of each class: a repeated row has many, and so has a text that repeats itself
+    spot = (F.min("key").alias("rep"), F.min_by("doc", "key").alias("doc"), F.min_by("lo", "key").alias("lo"), F.min("n").alias("n"))
+    classes = several.groupBy("name", "cls").agg(value.alias("value"), F.count("*").alias("copies"), *spot)
     sizes = classes.groupBy("name").agg(F.count("*").alias("size"))
-    spots = several.join(classes.join(sizes, "name"), ["name", "cls"]).where("key = rep")
+    spots = classes.join(sizes, "name").withColumnRenamed("rep", "key")
     bodies = "name long, cls long, value long, copies long, windows array<long>"
 
     def asked(some: DataFrame) -> DataFrame:
         per_text = some.groupBy("doc", "key").agg(F.collect_list(F.struct("lo", "n", "name", "cls", "value", "copies")).alias("spots"))
         return texts.join(per_text.hint("shuffle_hash"), ["doc", "key"]).mapInArrow(_bodies(make_scan, limit), bodies)
 
-    grouped = asked(spots.where(f"size <= {CLASSES_TOGETHER}")).groupBy("name").agg(F.collect_list(F.struct("cls", "value", "copies", "windows")).alias("classes"))
+    grouped = asked(spots.where(f"size <= {CLASSES_TOGETHER}")).groupBy("name").agg(F.collect_set(F.struct("cls", "value", "copies", "windows")).alias("classes"))
     few = grouped.mapInArrow(_settle(earlier), "name long, cls long, first int, last int, value long")
     # an anchor with very many classes: its windows are spread, and their best values come back by a join
-    windows = asked(spots.where(f"size > {CLASSES_TOGETHER}")).select("name", "cls", "value", "copies", F.posexplode("windows").alias("first", "window"))
+    windows = asked(spots.where(f"size > {CLASSES_TOGETHER}")).dropDuplicates(["name", "cls"]).select("name", "cls", "value", "copies", F.posexplode("windows").alias("first", "window"))
     best = windows.groupBy("name", "window").agg((F.min("value") if earlier else F.sum("value")).alias("best"))
     useful = "best < value or copies > 1" if earlier else "best > 1"
     many = windows.join(best, ["name", "window"]).where(useful).select("name", "cls", "first", F.col("first").alias("last"), (F.col("best") if earlier else F.lit(0).cast("long")).alias("value"))
