@@ -1,12 +1,10 @@
-"""Operator 9: substring dedup on bytes by bucket-pointer refinement.
-
-Suffixes are put in buckets by their first 8 bytes. A bucket is refined by the bucket identifiers of its suffixes
-at later offsets: identifiers for 16 bytes come from those for 8 at offsets 0 and 8, those for 32 from 16, and so
-on to 64, 128 and 200 bytes, each step using the one before. An identifier is named by a digest of the pair it
-stands for, so it is the same in every task and no global sort is needed to hand it out. Of all suffixes, those
-that are least by their 32-byte identifier among 169 neighbours go on: every window of 200 bytes has such a
-suffix, at a place that its bytes alone decide. Buckets of one suffix drop out; the others are refined to 200
-bytes around that place (see `windows`).
+"""Operator 9: substring dedup on bytes by anchor hashing, in place of bucket-pointer refinement.
+
+Every place has an identifier of its next 32 bytes, made from those of 8 and 16 bytes by digests of pairs, so it is
+the same in every task. No buckets are sorted or refined in rounds. Of the places in a window of 200 bytes, the one
+that is least by its identifier among 169 neighbours is the window's anchor, which its bytes alone decide. Windows
+are named by digests of 64, 128 and 200 bytes when anchors are found, before it is known whether an anchor is met
+more than once; what repeats is then settled around anchors (see `windows`).
 """
 
 from __future__ import annotations
