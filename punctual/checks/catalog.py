@@ -26,7 +26,7 @@ from punctual.operators import (
     star,
 )
 from punctual.operators.calendar import active_services
-from punctual.settings import DELAY_MAX_MINUTES, DELAY_MIN_MINUTES
+from punctual.settings import DELAY_MAX_MINUTES, DELAY_MIN_MINUTES, GREATER_MANCHESTER
 from punctual.sources import positions as position_source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,7 +116,12 @@ def _(spark, sf):
     )
 
 
-_CENTRE = (53.477, -2.230)
+_CENTRE = tuple(
+    round((a + b) / 2, 6)
+    for a, b in (
+        (GREATER_MANCHESTER.lat_min, GREATER_MANCHESTER.lat_max), (GREATER_MANCHESTER.lon_min, GREATER_MANCHESTER.lon_max)
+    )
+)
 
 
 @query(
@@ -948,9 +953,11 @@ def _(spark, sf):
 
 _PAYLOADS = {
     "plain": OPERATOR,
-    "drop": f"{OPERATOR}'; DROP TABLE fact_delay_event; --",
-    "or_true": "' OR '1'='1",
-    "or_quoted": f'{OPERATOR}" OR 1=1 --',
+    "comment": f"{OPERATOR}' /* whatever follows",
+    "union": "none' union all select operator, 1 from fact where 'a' = 'a",
+    "typographic": f"{OPERATOR}\u2019 or true",
+    "stacked": f"{OPERATOR}'); truncate table fact; select ('",
+    "empty": "",
 }
 
 

@@ -39,9 +39,3 @@ def zone(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
     yield lambda name: spark.conf.set("spark.sql.session.timeZone", name)
     spark.conf.set("spark.sql.session.timeZone", before)
-
-
-def rows_of(frame, *columns):
-    """The rows as a sorted list of tuples."""
-    frame = frame.select(*columns) if columns else frame.select(*sorted(frame.columns))
-    return sorted((tuple(r) for r in frame.collect()), key=lambda r: tuple((x is None, str(x)) for x in r))

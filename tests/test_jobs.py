@@ -8,7 +8,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from helpers import rows_of
 from punctual.checks import feeds, landing
 from punctual.functions.geo import in_area
 from punctual.models import regression

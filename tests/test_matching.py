@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from helpers import rows_of
 from punctual import schemas
 from punctual.checks import feeds, landing
 from punctual.functions.times import gtfs_time_seconds

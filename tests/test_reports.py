@@ -8,7 +8,7 @@ from math import floor
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from helpers import rows_of
 from punctual.checks import landing
 from punctual.operators import distributions, layout, quality, reliability, reports, star
 from punctual.plans import jobs

@@ -4,7 +4,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from helpers import rows_of
 from punctual import schemas
 from punctual.models.regression import metrics_long
 from punctual.sources import positions, sinks, timetable
