@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import embedding_dedup, mixing, piece_codec, quality_classifier, quality_rules, recompression, simhash, suffix_dedup, token_counts, token_files
+from punctual.llm import embedding_dedup, fill_in_middle, mixing, piece_codec, quality_classifier, quality_rules, recompression, simhash, suffix_dedup, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,5 +21,6 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": token_counts.query,
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_mixing": mixing.query,
+    "op13_fill_in_middle": fill_in_middle.query,
 }
-ORACLES: dict[str, str] = {"op3_recompression": recompression.ORACLE, "op9_suffix_dedup": suffix_dedup.ORACLE, "op10_mixing": mixing.oracle()}
+ORACLES: dict[str, str] = {"op3_recompression": recompression.ORACLE, "op9_suffix_dedup": suffix_dedup.ORACLE, "op10_mixing": mixing.oracle(), "op13_fill_in_middle": fill_in_middle.ORACLE}

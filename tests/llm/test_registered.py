@@ -9,7 +9,7 @@ import corpus_pipeline
 from punctual.llm import queries
 
 NAMES = ("op1_token_files op2_quality_classifier op3_recompression op4_quality_rules op5_nn_descent op6_sentencepiece "
-         "op7_simhash op8_token_counts op9_suffix_dedup op10_mixing").split()
+         "op7_simhash op8_token_counts op9_suffix_dedup op10_mixing op13_fill_in_middle").split()
 COLUMNS = {
     "op1_token_files": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op2_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
@@ -19,6 +19,7 @@ COLUMNS = {
     "op7_simhash": ["doc_id", "fingerprint", "component_id"],
     "op8_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     "op9_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    "op13_fill_in_middle": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
 }
 
 
