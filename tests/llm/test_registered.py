@@ -9,7 +9,7 @@ import corpus_pipeline
 from punctual.llm import queries
 
 NAMES = ("op1_token_files op2_quality_classifier op3_recompression op4_quality_rules op5_nn_descent op6_sentencepiece "
-         "op7_simhash op8_token_counts op9_suffix_dedup op10_mixing op13_fill_in_middle").split()
+         "op7_simhash op8_token_counts op9_suffix_dedup op10_mixing op11_hard_negatives op12_toxicity op13_fill_in_middle").split()
 COLUMNS = {
     "op1_token_files": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op2_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
@@ -19,6 +19,7 @@ COLUMNS = {
     "op7_simhash": ["doc_id", "fingerprint", "component_id"],
     "op8_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     "op9_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    "op12_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op13_fill_in_middle": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
 }
 
@@ -76,3 +77,10 @@ def test_pipeline_of_nothing(spark, small):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, small)
     assert docs.count() == 0
+
+
+def test_hard_negatives_of_the_given_vectors(spark, small):
+    frame = queries.QUERIES["op11_hard_negatives"](spark, small)
+    assert frame.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    rows = frame.collect()
+    assert rows and {r.anchor_id % 100 for r in rows} == {0} and max(r["rank"] for r in rows) <= 10
