@@ -79,6 +79,22 @@ def _(spark, sf):
     )
 
 
+@query(
+    "archive_load",
+    over(
+        f"""select operator_ref, line_ref, vehicle_ref, recorded_at, origin_aimed_departure, longitude, latitude, source_date
+        from fx_feed where latitude between 53.30e0 and 53.65e0 and longitude between -2.75e0 and -1.90e0
+            and source_date = '{DAY}'"""
+    ),
+)
+def _(spark, sf):
+    rows = position_source.load_positions(spark, {DAY: landing.archives(spark, sf)[DAY]})
+    return rows.select(
+        "operator_ref", "line_ref", "vehicle_ref", "recorded_at", "origin_aimed_departure",
+        "longitude", "latitude", "source_date",
+    )
+
+
 @query("gtfs_time_seconds", over("select trip_id, stop_sequence, sched_sec_raw sched_sec from fx_stop_times"))
 def _(spark, sf):
     return landing.raw_timetable(spark, sf).stop_times.select(

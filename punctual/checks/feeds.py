@@ -8,9 +8,15 @@ midnight, origins outside the tolerance, pings too far from a stop and journeys
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from punctual.sources.archives import SNAPSHOT_MEMBER, file_system
 from punctual.sources.timetable import Timetable
 
 SERVICE_DATES = ["20260630", "20260701"]
@@ -257,3 +263,41 @@ def as_documents(positions: DataFrame) -> DataFrame:
         .otherwise(F.lit("this is not XML")),
     )
     return sound.union(damaged).select("source_date", "xml")
+
+
+def as_archives(documents: DataFrame, directory: str, parts: int = 8) -> DataFrame:
+    """Packs the documents as a provider would: zips of zips in the shared folder, `parts` for each day.
+
+    Gives (source_date, archive). A task that runs again writes the same archives again.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, folder = file_system(directory)
+        filesystem.create_dir(folder)
+        made, stream, outer = [], None, None
+
+        def close() -> None:
+            if outer is not None:
+                outer.close()
+                stream.close()
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                here = (row["source_date"], f"sirivm-{row['source_date']}-{row['part']}.zip")
+                if not made or made[-1] != here:
+                    close()
+                    made.append(here)
+                    stream = filesystem.open_output_stream(f"{folder}/{here[1]}")
+                    outer = zipfile.ZipFile(stream, "w", zipfile.ZIP_STORED)
+                packed = io.BytesIO()
+                with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as inner:
+                    inner.writestr(SNAPSHOT_MEMBER, row["xml"])
+                outer.writestr(f"{len(outer.infolist()):06}.zip", packed.getvalue())
+        close()
+        dates, paths = [date for date, _ in made], [f"{directory}/{name}" for _, name in made]
+        yield pa.RecordBatch.from_arrays([pa.array(dates, pa.string()), pa.array(paths, pa.string())], ["source_date", "archive"])
+
+    digest = F.abs(F.xxhash64("source_date", "xml"))
+    rows = documents.select("source_date", digest.alias("digest"), F.pmod("digest", F.lit(parts)).alias("part"), "xml")
+    by_archive = rows.repartition("source_date", "part").sortWithinPartitions("source_date", "part", "digest")
+    return by_archive.mapInArrow(pack, "source_date string, archive string")

@@ -46,6 +46,16 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_by_day(spark, written_once(spark, sf_dir, "positions", write), "source_date")
 
 
+def archives(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
+    """The positions packed as archives in the shared folder, by service date."""
+
+    def write(path: str) -> None:
+        feeds.as_archives(feeds.as_documents(positions(spark, sf_dir)), f"{path}/packed").write.parquet(f"{path}/listed")
+
+    listed = spark.read.parquet(f"{written_once(spark, sf_dir, 'archives', write)}/listed").collect()
+    return {date: sorted(r.archive for r in listed if r.source_date == date) for date in {r.source_date for r in listed}}
+
+
 def reconstruction(
     spark: SparkSession, sf_dir: str, service_dates: tuple[str, ...] = (DAY,)
 ) -> Reconstruction:

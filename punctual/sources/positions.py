@@ -1,19 +1,14 @@
-"""Vehicle positions: daily archives (a zip of zips) of XML snapshots.
+"""Vehicle positions: daily archives of XML snapshots to rows.
 
-The work is cut into steps that Spark spreads out on its own: one task lists an archive, any number of tasks
-unpack entries and take the documents apart, each with a streaming XML parser.
+`sources.archives` reads the archives as a Spark source; here the documents are taken apart, each by a streaming
+XML parser, and positions are stored and read by day.
 """
 
 from __future__ import annotations
 
-import io
-import math
-import zipfile
-import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from xml.etree import ElementTree
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +16,10 @@ from pyspark.sql import functions as F
 from punctual import schemas
 from punctual.functions.geo import in_area
 from punctual.settings import GREATER_MANCHESTER, Area
+from punctual.sources.archives import TASK_BYTES, Archives, read_archives
 
-# The XML namespace of the feed and the file inside each snapshot.
+# Fixed value: the XML namespace of the feed.
 NAMESPACE = "http://www.siri.org.uk/siri"
-SNAPSHOT_MEMBER = "siri.xml"
 
 # Where each column of a position sits inside one activity element.
 ACTIVITY_FIELDS = {
@@ -41,139 +36,65 @@ ACTIVITY_FIELDS = {
     "longitude": "MonitoredVehicleJourney.VehicleLocation.Longitude",
     "latitude": "MonitoredVehicleJourney.VehicleLocation.Latitude",
 }
-# What a damaged zip or one of its entries raises: bad headers and checksums, streams that are broken or end
-# early, unknown methods, encryption.
-DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, KeyError, NotImplementedError, RuntimeError)
-TASK_BYTES = 64 << 20  # of packed snapshots for one task
+
+LONGITUDE, LATITUDE = (list(ACTIVITY_FIELDS).index(axis) for axis in ("longitude", "latitude"))
 
 
 def archive_path(directory: str, date: str) -> str:
     return f"{directory}/sirivm-{date}.zip"
 
 
-def _open(path: str):
-    """A seekable handle on a local, mounted or object-store file."""
-    from pyarrow import fs
-
-    if "://" in path:
-        filesystem, inner = fs.FileSystem.from_uri(path)
-    else:
-        filesystem, inner = fs.LocalFileSystem(), path
-    return filesystem.open_input_file(inner)
-
-
-def list_snapshots(spark: SparkSession, archives: dict[str, str]) -> DataFrame:
-    """One row per snapshot of each archive, numbered from 0 in the order of the archive's directory, with
-    its packed size.
-
-    `archives` maps a service date to the path of its archive. Only the directory of a zip is read here.
-    """
-
-    def entries(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for source_date, archive in zip(batch["source_date"], batch["archive"]):
-                with _open(archive) as handle, zipfile.ZipFile(handle) as outer:
-                    found = [e for e in outer.infolist() if e.filename.endswith(".zip")]
-                yield pd.DataFrame(
-                    {
-                        "source_date": source_date,
-                        "archive": archive,
-                        "ordinal": pd.Series(range(len(found)), dtype="int64"),
-                        "snapshot_file": pd.Series([e.filename for e in found], dtype="object"),
-                        "size": pd.Series([e.compress_size for e in found], dtype="int64"),
-                    }
-                )
-
-    days = spark.createDataFrame(sorted(archives.items()), "source_date string, archive string")
-    return days.repartition(len(archives), "archive").mapInPandas(
-        entries, "source_date string, archive string, ordinal bigint, snapshot_file string, size bigint"
-    )
-
-
 def every_nth(rows: DataFrame, n: int, ordinal: str = "ordinal") -> DataFrame:
     """Systematic sample: rows 0, n, 2n, … by their ordinal."""
     return rows if n <= 1 else rows.where(F.col(ordinal) % n == 0)
 
 
-def _snapshot_xml(outer: zipfile.ZipFile, name: str) -> tuple[bytes | None, str | None]:
-    """The document of one packed snapshot, or what is wrong with it. An empty entry is no fault."""
-    try:
-        packed = outer.read(name)
-        if not packed:
-            return None, None
-        with zipfile.ZipFile(io.BytesIO(packed)) as inner:
-            return inner.read(SNAPSHOT_MEMBER), None
-    except DAMAGE as fault:
-        return None, f"{type(fault).__name__}: {fault}"
-
-
-def unpack_snapshots(snapshots: DataFrame, partitions: int) -> DataFrame:
-    """`(source_date, snapshot_file, xml, damage)` of the listed entries, unpacked on `partitions` tasks.
+def damaged_per_day(snapshots: DataFrame) -> DataFrame:
+    """Snapshots of each day as `read_archives` gives them, and how many of them could not be unpacked."""
+    return snapshots.groupBy("source_date").agg(
+        F.count(F.lit(1)).alias("snapshots"), F.count("damage").alias("damaged")
+    )
 
-    `xml` holds bytes, null where there are none; `damage` says why. Tasks take ranges of (archive, ordinal),
-    so each opens one archive, or two where a range crosses a border. Listing is done twice if `snapshots`
-    is not a stored table: once for the ranges.
-    """
 
-    def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened, handle, outer = None, None, None
-        try:
-            for batch in batches:
-                rows, held = [], 0
-                for row in batch.to_pylist():
-                    if row["archive"] != opened:
-                        if handle is not None:
-                            handle.close()
-                        handle = _open(row["archive"])
-                        opened, outer = row["archive"], zipfile.ZipFile(handle)
-                    xml, damage = _snapshot_xml(outer, row["snapshot_file"])
-                    rows.append((row["source_date"], row["snapshot_file"], xml, damage))
-                    held += len(xml or b"")
-                    if held > TASK_BYTES:
-                        yield packed(rows)
-                        rows, held = [], 0
-                yield packed(rows)
-        finally:
-            if handle is not None:
-                handle.close()
-
-    def packed(rows: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*rows)) if rows else [[], [], [], []]
-        kinds = [pa.string(), pa.string(), pa.binary(), pa.string()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], ["source_date", "snapshot_file", "xml", "damage"]
-        )
-
-    return (
-        snapshots.repartitionByRange(partitions, "archive", "ordinal")
-        .sortWithinPartitions("archive", "ordinal")
-        .select("source_date", "archive", "snapshot_file")
-        .mapInArrow(unpack, "source_date string, snapshot_file string, xml binary, damage string")
-    )
+def _fields() -> dict:
+    """ACTIVITY_FIELDS as a tree: a tag leads to further tags, or to the number of a column."""
+    space, tree = "{" + NAMESPACE + "}", {}
+    for number, where in enumerate(ACTIVITY_FIELDS.values()):
+        *steps, last = (space + step for step in where.split("."))
+        node = tree
+        for step in steps:
+            node = node.setdefault(step, {})
+        node[last] = number
+    return tree
 
 
-def damaged_per_day(unpacked: DataFrame) -> DataFrame:
-    """Snapshots of each day, and how many of them could not be unpacked."""
-    return unpacked.groupBy("source_date").agg(
-        F.count(F.lit(1)).alias("snapshots"), F.count("damage").alias("damaged")
-    )
+def _walk(element: ElementTree.Element, fields: dict, values: list[str | None]) -> None:
+    """One look at each child. Of an element that comes twice the first counts."""
+    for child in element:
+        found = fields.get(child.tag)
+        if found.__class__ is dict:
+            _walk(child, found, values)
+        elif found is not None and values[found] is None:
+            values[found] = child.text or ""
 
 
 def _activities(document: str | bytes) -> list[list[str | None]]:
-    """The values of each activity of a document, in the order of ACTIVITY_FIELDS; none of a malformed one.
+    """The values of each activity with a place, in the order of ACTIVITY_FIELDS; none of a malformed document.
 
     An activity is emptied as soon as it is read. That the document holds together shows only at its end.
     """
-    space = "{" + NAMESPACE + "}"
-    paths = ["/".join(space + step for step in where.split(".")) for where in ACTIVITY_FIELDS.values()]
+    fields, tag = _fields(), "{" + NAMESPACE + "}VehicleActivity"
     parser, rows = ElementTree.XMLPullParser(["end"]), []
     try:
         for start in range(0, len(document), 1 << 18):
             parser.feed(document[start : start + (1 << 18)])
             for _, element in parser.read_events():
-                if element.tag == f"{space}VehicleActivity":
-                    rows.append([(element.findtext(path) or "").strip() or None for path in paths])
+                if element.tag == tag:
+                    values: list[str | None] = [None] * len(ACTIVITY_FIELDS)
+                    _walk(element, fields, values)
                     element.clear()
+                    if values[LONGITUDE] and values[LATITUDE]:
+                        rows.append([(value or "").strip() or None for value in values])
         parser.close()
     except (ElementTree.ParseError, LookupError, ValueError):
         return []
@@ -220,25 +141,19 @@ def explode_activities(documents: DataFrame, xml: str = "xml", area: Area = GREA
 
 def load_positions(
     spark: SparkSession,
-    archives: dict[str, str],
+    archives: Archives,
     sample_every_nth: int = 1,
     area: Area = GREATER_MANCHESTER,
-    partitions: int | None = None,
-    stage: Callable[[DataFrame, str], DataFrame] | None = None,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
-    """Positions of whole days: list, sample, unpack, take apart.
+    """Positions of whole days, without a shuffle: archives are unpacked and taken apart where they are read.
 
-    The number of tasks follows from the listed sizes. `stage` stores the listing, which is then made once.
-    What could not be unpacked is left out here; `damaged_per_day(unpack_snapshots(...))` counts it.
+    `archives` maps a service date to the path of its archive, or to several. What could not be unpacked is left
+    out here; `damaged_per_day(read_archives(...))` counts it.
     """
-    chosen = every_nth(list_snapshots(spark, archives), sample_every_nth)
-    if stage is not None:
-        chosen = stage(chosen, "snapshots")
-    if partitions is None:
-        total = chosen.agg(F.sum("size")).first()[0] or 0
-        partitions = max(spark.sparkContext.defaultParallelism, math.ceil(total / TASK_BYTES))
-    unpacked = unpack_snapshots(chosen, partitions).drop("damage")
-    return explode_activities(unpacked, area=area).select(*schemas.POSITIONS.fieldNames())
+    snapshots = read_archives(spark, archives, every_nth=sample_every_nth, task_bytes=task_bytes)
+    documents = snapshots.select("source_date", "snapshot_file", "xml")
+    return explode_activities(documents, area=area).select(*schemas.POSITIONS.fieldNames())
 
 
 def read_positions(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from helpers import rows_of
 from punctual import schemas
 from punctual.models.regression import metrics_long
+from punctual.sources import archives as archive_source
 from punctual.sources import positions, sinks, timetable
 
 NS = positions.NAMESPACE
@@ -79,7 +80,7 @@ def archive(directory, date, entries):
 
 def load(spark, tmp_path, payload, **options):
     path = archive(tmp_path, "20260701", {"snap.zip": payload})
-    return positions.load_positions(spark, {"20260701": path}, partitions=1, **options).collect()
+    return positions.load_positions(spark, {"20260701": path}, **options).collect()
 
 
 def test_all_columns_of_a_position(spark, tmp_path):
@@ -175,36 +176,91 @@ def test_damaged_entries_do_not_stop_the_day_and_are_counted(spark, tmp_path):
     with open(path, "wb") as out:  # the outer checksum of 3.zip fails
         out.write(data[:at] + bytes([data[at] ^ 1]) + data[at + 1 :])
     archives = {"20260701": path}
-    assert sorted(r.snapshot_file for r in positions.load_positions(spark, archives, partitions=2).collect()) == ["1.zip", "5.zip"]
-    unpacked = positions.unpack_snapshots(positions.list_snapshots(spark, archives), 2)
-    assert [tuple(r) for r in positions.damaged_per_day(unpacked).collect()] == [("20260701", 5, 2)]
-
-
-def test_tasks_take_ranges_of_archives(spark, tmp_path):
-    archives = {}
-    for day in ("20260629", "20260630", "20260701"):
-        archives[day] = archive(tmp_path, day, {f"{i:03}.zip": snapshot(siri(line=str(i))) for i in range(40)})
-    listing = spark.createDataFrame(positions.list_snapshots(spark, archives).collect())
-    rows = positions.unpack_snapshots(listing, 4).select("source_date", "snapshot_file", F.spark_partition_id().alias("task")).collect()
-    assert len(rows) == 120
-    days = {}
-    for r in rows:
-        days.setdefault(r.task, set()).add(r.source_date)
-    # borders of ranges come from a sample, so a range may reach into the next archive, but no further
-    assert 2 <= len(days) <= 4 and sum(map(len, days.values())) <= 3 + len(days) - 1
+    assert sorted(r.snapshot_file for r in positions.load_positions(spark, archives, task_bytes=1).collect()) == ["1.zip", "5.zip"]
+    snapshots = archive_source.read_archives(spark, archives)
+    assert [tuple(r) for r in positions.damaged_per_day(snapshots).collect()] == [("20260701", 5, 2)]
+
+
+def days_of_snapshots(tmp_path, days=("20260629", "20260630", "20260701"), n=40):
+    return {day: archive(tmp_path, day, {f"{i:03}.zip": snapshot(siri(line=str(i))) for i in range(n)}) for day in days}
+
+
+def test_tasks_take_stretches_of_one_archive(spark, tmp_path):
+    archives = days_of_snapshots(tmp_path)
+    one = archive_source.read_archives(spark, archives, content=False).first()["size"]
+    rows = archive_source.read_archives(spark, archives, task_bytes=15 * one).select("source_date", "ordinal", F.spark_partition_id().alias("task"))
+    tasks = {}
+    for r in rows.collect():
+        tasks.setdefault(r.task, []).append((r.source_date, r.ordinal))
+    assert sorted(x for t in tasks.values() for x in t) == [(d, i) for d in sorted(archives) for i in range(40)]
+    for taken in tasks.values():
+        first = taken[0][1]
+        assert taken == [(taken[0][0], first + i) for i in range(len(taken))] and len(taken) <= 15
+    assert 9 <= len(tasks) <= 12
     path = str(tmp_path / "stored")
-    sinks.replace_days(positions.load_positions(spark, archives, partitions=4), path)
-    files = list((tmp_path / "stored").glob("source_date=*/*.parquet"))
-    assert len(files) <= 3 + 4 - 1
+    sinks.replace_days(positions.load_positions(spark, archives, task_bytes=15 * one), path)
+    assert len(list((tmp_path / "stored").glob("source_date=*/*.parquet"))) == len(tasks)
     assert positions.read_positions(spark, path).count() == 120
 
 
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_options_name_the_entries_to_read(spark, tmp_path):
+    archives = days_of_snapshots(tmp_path)
+    some = archive_source.read_archives(spark, {"20260701": archives["20260701"]}, first=3, last=5)
+    assert rows_of(some, "source_date", "ordinal") == [("20260701", i) for i in (3, 4, 5)]
+    sample = archive_source.read_archives(spark, archives, every_nth=7, first=8, last=1000, task_bytes=1)
+    assert rows_of(sample, "source_date", "ordinal") == sorted((d, i) for d in archives for i in (14, 21, 28, 35))
+    assert archive_source.read_archives(spark, archives, first=40).count() == 0
+    with pytest.raises(Exception, match="not there"):
+        archive_source.read_archives(spark, archives | {"20260702": str(tmp_path / "not there.zip")}).count()
+
+
+def test_filters_of_one_table_do_not_meet(spark, tmp_path):
+    every = archive_source.read_archives(spark, days_of_snapshots(tmp_path))
+    one, other = every.where("source_date = '20260629' and ordinal < 3"), every.where("source_date = '20260701'")
+    assert (one.count(), other.count(), every.count()) == (3, 40, 120)
+    assert rows_of(one.union(other).groupBy("source_date").count()) == [(3, "20260629"), (40, "20260701")]
+
+
+def test_loading_a_day_moves_no_rows(spark, tmp_path):
+    archives = days_of_snapshots(tmp_path)
+    day = positions.load_positions(spark, {"20260630": archives["20260630"]}, sample_every_nth=5)
+    assert "Exchange" not in plan_of(day)
+    assert {r.snapshot_file for r in day.collect()} == {f"{i:03}.zip" for i in range(0, 40, 5)}
+
+
+def test_listing_reads_no_documents(spark, tmp_path):
+    listed = archive_source.read_archives(spark, days_of_snapshots(tmp_path), every_nth=20, content=False)
+    assert listed.columns == ["source_date", "archive", "ordinal", "snapshot_file", "size"]
+    assert rows_of(listed, "source_date", "ordinal") == [(d, i) for d in ("20260629", "20260630", "20260701") for i in (0, 20)]
+
+
+def test_several_archives_of_a_day_and_empty_ones(spark, tmp_path):
+    parts = {}
+    for part, n in (("a", 3), ("b", 0), ("c", 2)):
+        (tmp_path / part).mkdir()
+        parts[part] = archive(tmp_path / part, "20260701", {f"{i}.zip": snapshot(siri(line=part)) for i in range(n)})
+    got = archive_source.read_archives(spark, {"20260701": list(parts.values())})
+    assert rows_of(got, "archive", "ordinal") == [(parts["a"], i) for i in range(3)] + [(parts["c"], i) for i in range(2)]
+    assert archive_source.read_archives(spark, {"20260701": parts["b"]}).count() == 0
+    assert archive_source.read_archives(spark, {}).count() == 0
+
+
+def test_an_archive_that_is_no_zip_is_an_error(spark, tmp_path):
+    (tmp_path / "x.zip").write_bytes(b"words")
+    with pytest.raises(Exception, match="not a zip"):
+        archive_source.read_archives(spark, {"20260701": str(tmp_path / "x.zip")}).count()
+
+
 def test_systematic_sample_counts_from_the_first_entry(spark, tmp_path):
     names = [f"{i:02}.zip" for i in (5, 3, 9, 1, 7)]
     path = archive(tmp_path, "20260701", {n: snapshot(siri(line=n)) for n in names})
-    listed = positions.list_snapshots(spark, {"20260701": path})
+    listed = archive_source.read_archives(spark, {"20260701": path}, content=False)
     assert rows_of(listed, "ordinal", "snapshot_file") == list(enumerate(names))
-    got = positions.load_positions(spark, {"20260701": path}, sample_every_nth=2, partitions=2)
+    got = positions.load_positions(spark, {"20260701": path}, sample_every_nth=2)
     assert {r.snapshot_file for r in got.collect()} == {"05.zip", "09.zip", "07.zip"}
 
 
