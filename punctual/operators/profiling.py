@@ -20,16 +20,20 @@ PROFILE = {
 def feed_profile(positions: DataFrame) -> DataFrame:
     """One row: volume, and distinct positions, journeys, operators and lines.
 
-    Each number comes from a narrow scan of its own that combines before its shuffle. Several distinct
-    counts in one aggregate would first repeat every row for each of them. NULL is a value like any other
-    where several columns are counted, and none where one column is.
+    Positions and journeys come from a narrow scan each that combines before its shuffle; the other numbers from a
+    third, which counts by operator and line and so moves next to nothing. Several distinct counts in one aggregate
+    would first repeat every row for each of them. NULL is a value like any other where several columns are
+    counted, and none where one column is.
     """
     rows = F.count(F.lit(1))
-    counts = [positions.agg(rows.alias("total_pings"))]
-    counts += [positions.select(*columns).distinct().agg(rows.alias(name)) for name, columns in PROFILE.items()]
-    counts.append(feed_operators(positions).agg(rows.alias("distinct_operators")))
-    counts.append(positions.where("line_ref is not null").select("line_ref").distinct().agg(rows.alias("distinct_lines")))
-    return _side_by_side(counts)
+    pairs = positions.groupBy("operator_ref", "line_ref").agg(rows.alias("n"))
+    small = pairs.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_pings"),
+        F.size(F.collect_set("operator_ref")).cast("bigint").alias("distinct_operators"),
+        F.size(F.collect_set("line_ref")).cast("bigint").alias("distinct_lines"),
+    )
+    counts = [positions.select(*columns).distinct().agg(rows.alias(name)) for name, columns in PROFILE.items()]
+    return _side_by_side([small, *counts]).select("total_pings", *PROFILE, "distinct_operators", "distinct_lines")
 
 
 def _side_by_side(single_rows: list[DataFrame]) -> DataFrame:

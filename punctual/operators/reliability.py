@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctual.functions.measures import coefficient_of_variation, on_time_pct, round_half_away
+from punctual.operators.selection import quantile_disc
 from punctual.schemas import JOURNEY_KEY
 from punctual.settings import (
     CV_TARGET,
@@ -82,7 +83,7 @@ def travel_time_variability(routes: DataFrame, target_cv: float = CV_TARGET) ->
     met = F.sum((F.col("cv") <= F.lit(target_cv)).cast("int"))
     return routes.agg(
         F.count(F.lit(1)).alias("routes_assessed"),
-        round_half_away(F.percentile_approx("cv", 0.5), 3).alias("median_cv"),
+        round_half_away(quantile_disc(routes, "cv", 0.5).scalar(), 3).alias("median_cv"),
         F.lit(float(target_cv)).alias("target_cv"),
         round_half_away(F.lit(100.0) * met / F.nullif(F.count(F.lit(1)), F.lit(0)), 1).alias(
             "pct_routes_meeting_target"

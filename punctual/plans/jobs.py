@@ -71,10 +71,11 @@ def ingest_positions(
 
 
 def compute_delay_events(spark: SparkSession, lake: Lake, dates: Sequence[str]) -> None:
+    """Works out the events of the given days; those of other days stay as they are."""
     feed = read_silver_timetable(spark, lake.timetable)
     positions = position_source.read_positions(spark, lake.positions)
     run = Reconstruction(feed, positions, dates, stage_tables(spark))
-    sinks.write_delay_events(run.delay_events, lake.delay_events)
+    sinks.replace_delay_events(run.delay_events, lake.delay_events, dates)
 
 
 def star_tables(events: DataFrame, feed: Timetable) -> dict[str, DataFrame]:

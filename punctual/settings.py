@@ -54,4 +54,4 @@ TRAIN_DATE = "20260630"
 TEST_DATE = "20260701"
 MODEL_SEED = 42
 MODEL_FOLDS = 3
-MODEL_PARALLELISM = 2
+MODEL_PARALLELISM = 6  # fits at once; changes no result

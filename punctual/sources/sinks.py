@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from punctual import schemas
@@ -39,6 +40,32 @@ def replace_days(rows: DataFrame, path: str, day: str = "source_date") -> None:
     )
 
 
+def replace_delay_events(events: DataFrame, path: str, days: Sequence[str]) -> None:
+    """Reload of some service dates: each of `days` then holds what `events` has for it, all other days stay.
+
+    A day that has no events any more is removed once the others are written.
+    """
+    spark = events.sparkSession
+    before = _days_stored(spark, path, days)
+    replace_days(events.where(F.col("service_date").isin(*days)).hint("rebalance", "service_date"), path, "service_date")
+    for day, files in before.items():
+        # a partition that still has the files from before got no new ones
+        if _days_stored(spark, path, [day]).get(day) == files:
+            where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/service_date={day}")
+            where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
+def _days_stored(spark: SparkSession, path: str, days: Sequence[str]) -> dict[str, list[str]]:
+    """The names of the files of those of the days that are stored."""
+    found = {}
+    for day in days:
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/service_date={day}")
+        system = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        if system.exists(where):
+            found[day] = sorted(status.getPath().getName() for status in system.listStatus(where))
+    return found
+
+
 def read_delay_events(spark: SparkSession, path: str, schema: T.StructType = schemas.DELAY_EVENTS) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 

@@ -294,6 +294,20 @@ def test_events_are_partitioned_by_day(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(service_date" in plan
 
 
+def test_events_of_other_days_stay(spark, tmp_path):
+    path, schema = str(tmp_path / "events"), "service_date string, delay_min double"
+    frame = lambda *rows: spark.createDataFrame(list(rows), schema)
+    read = lambda: rows_of(sinks.read_delay_events(spark, path, frame(("", 0.0)).schema), "service_date", "delay_min")
+    sinks.replace_delay_events(frame(("20260630", 1.0), ("20260701", 2.0)), path, ["20260630", "20260701"])
+    # rows of a day that was not asked for are left out, and a day asked for without rows goes
+    sinks.replace_delay_events(frame(("20260701", 3.0), ("20260630", 9.0)), path, ["20260701"])
+    assert read() == [("20260630", 1.0), ("20260701", 3.0)]
+    sinks.replace_delay_events(frame(("20260702", 4.0)), path, ["20260630", "20260702"])
+    assert read() == [("20260701", 3.0), ("20260702", 4.0)]
+    sinks.replace_delay_events(frame(("20260702", 4.0)).limit(0), path, ["20260701"])
+    assert read() == [("20260702", 4.0)]
+
+
 def test_model_comparison_file(spark, tmp_path):
     path = str(tmp_path / "comparison")
     assert sinks.read_model_comparison(spark, path) is None
