@@ -28,6 +28,7 @@ BATCH = 200
 RATE = 0.05
 DECAY = 1e-4
 CUT = 0.3
+CACHED = 60_000  # words of a cache generation; a worker has two of them
 STATISTICS = (
     "n_words", "stored_length", "word_length", "signs", "capitals", "digits", "stops", "line_length", "distinct",
     "again", "most_common", "lines_again", "beyond_ascii",
@@ -54,7 +55,7 @@ class Featurizer:
     def __init__(self):
         from xxhash import xxh32_intdigest
 
-        self.cache = PieceCache(lambda words: np.array([xxh32_intdigest(w) % WORD_BUCKETS for w in words], np.int32)[:, None], limit=350_000)
+        self.cache = PieceCache(lambda words: np.array([xxh32_intdigest(w) % WORD_BUCKETS for w in words], np.int32)[:, None], limit=CACHED)
         self.kinds = _char_classes()
 
     def __call__(self, column: pa.Array, stored: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
