@@ -227,3 +227,45 @@ def test_links_and_components_of_vectors(spark):
 
 def test_no_vectors(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_vectors_of_two_lengths_and_of_very_large_doubles(spark):
+    rows = [(1, [1e300, 1e300], 0), (2, [1e300, 1e300], 0), (3, [1e-300, 1.01e-300], 0), (4, [1.0, 0.0, 0.0], 0), (5, [2.0, 0.0, 0.0], 0), (6, [0.0, 1.0, 0.0], 0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((r.id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(frame).collect())
+    assert got == [(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 1, 4, True), (5, 1, 4, False), (6, 0, 6, True)]
+
+
+def large_label(n=5000, clump=700, seed=9):
+    """One label: vectors far apart, a clump of more than PART members, and pairs around the threshold."""
+    random_ = np.random.default_rng(seed)
+    x = random_.normal(size=(n, 24))
+    x[:clump] = x[0] + random_.normal(size=(clump, 24)) * 0.12
+    for i in range(clump, n - 1, 8):
+        x[i + 1] = x[i] + random_.normal(size=24) * 0.19
+    return x.astype(np.float32)
+
+
+def test_a_large_label_with_a_clump_and_pairs_near_the_threshold(spark):
+    x = large_label()
+    frame = spark.createDataFrame([(i, v.tolist(), 3) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    unit = x.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.98
+    np.fill_diagonal(linked, False)
+    component, before = np.arange(len(x)), None
+    while before is None or (component != before).any():
+        before = component.copy()
+        for a, b in zip(*np.nonzero(linked), strict=True):
+            component[a] = component[b] = min(component[a], component[b])
+    assert embedding_dedup.PART < linked[:700].any(axis=1).sum()
+    got = {r.id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(frame).collect()}
+    assert got == {i: (int(linked[i].sum()), int(component[i])) for i in range(len(x))}
+
+
+def test_an_audit_that_falls_short_is_an_error(spark, monkeypatch):
+    frame = spark.createDataFrame([(i, [1.0, i / 100], 0) for i in range(5)], "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(embedding_dedup, "_audit", lambda *a: (10, 5))
+    monkeypatch.setattr(embedding_dedup, "AUDITS", 2)
+    with pytest.raises(RuntimeError, match="5 of 10"):
+        embedding_dedup.near_duplicates(frame)
