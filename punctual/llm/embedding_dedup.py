@@ -236,9 +236,13 @@ def neighbour_lists(nodes: DataFrame, first_seed: int, before: tuple[DataFrame,
     lists = _lists(pairs, sizes, k)
     while True:
         lists = checkpointed(_enlarged(lists, threshold))
-        if lists.where(F.exists("list", lambda e: e["fresh"])).isEmpty():
-            return lists, _merged(roots, lists, threshold) if roots is None else roots
-        roots = _merged(roots, lists, threshold)
+        fresh = F.exists("list", lambda e: e["fresh"])
+        joins = F.exists("list", lambda e: e["fresh"] & (e["cos"] >= threshold))
+        changed, linked = lists.agg(F.max(fresh), F.max(joins)).first()
+        if linked or roots is None:
+            roots = _merged(roots, lists, threshold)
+        if not changed:
+            return lists, roots
         lists = _round(lists, nodes, roots, k)
 
 
