@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from punctual.sources.sinks import write_text
+
 
 def spread_by(rows: DataFrame, partitions: int, *keys: str) -> DataFrame:
     """`partitions` parts by hash of the keys. For stored layouts; joins and groupings shuffle by themselves."""
@@ -39,3 +41,19 @@ def plan_text(rows: DataFrame, mode: str = "extended") -> str:
     with contextlib.redirect_stdout(printed):
         rows.explain(mode)
     return printed.getvalue()
+
+
+def save_plan(rows: DataFrame, path: str, mode: str = "formatted") -> None:
+    """The plan as a text file, as evidence beside the result."""
+    write_text(rows.sparkSession, plan_text(rows, mode), path)
+
+
+def store_bucketed(rows: DataFrame, name: str, buckets: int, *keys: str) -> DataFrame:
+    """`rows` as a table of the catalog, in `buckets` files by hash of `keys` and in their order.
+
+    Joins and groupings on the keys then need no exchange of this table, as often as it is read. Rows are dealt
+    before they are written, so that there is one file per bucket and not one per bucket and task.
+    """
+    dealt = rows.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return rows.sparkSession.table(name)

@@ -60,8 +60,14 @@ def bound_query(spark: SparkSession, text: str, args: Mapping[str, object], **ta
     return spark.sql(text, args=dict(args), **tables)
 
 
+def require_none(counts: Mapping[str, int]) -> None:
+    """Raises if any count of violations is not zero."""
+    bad = [f"{check}={n}" for check, n in counts.items() if n]
+    if bad:
+        raise ValueError("integrity: " + ", ".join(bad))
+
+
 def require_clean(violations: DataFrame) -> None:
     """Raises if any check counted a violation (a handful of rows reach the driver)."""
     bad = violations.where(F.col("violations") > 0).collect()
-    if bad:
-        raise ValueError("integrity: " + ", ".join(f"{r.check_name}={r.violations}" for r in bad))
+    require_none({r.check_name: r.violations for r in bad})

@@ -56,9 +56,10 @@ class Lake:
         return f"{self.root}/gold/model_comparison"
 
 
-def ingest_timetable(spark: SparkSession, lake: Lake, area: Area = GREATER_MANCHESTER) -> None:
+def ingest_timetable(spark: SparkSession, lake: Lake, area: Area = GREATER_MANCHESTER) -> sinks.Counts:
+    """Stores the tables of the area; returns the rows of each, counted while they were written."""
     feed = clip_timetable(read_timetable(spark, lake.raw_timetable), area)
-    sinks.write_tables({f.name: getattr(feed, f.name) for f in fields(Timetable)}, lake.timetable)
+    return sinks.write_tables({f.name: getattr(feed, f.name) for f in fields(Timetable)}, lake.timetable)
 
 
 def ingest_positions(
@@ -87,40 +88,56 @@ def star_tables(events: DataFrame, feed: Timetable) -> dict[str, DataFrame]:
     }
 
 
-def star_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """All declared constraints of the star schema, one row each."""
+STAR_NOT_NULL = {"fact_delay_event": ["service_date", "operator", "delay_min"]}
+
+
+def star_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
     dim_operator, dim_stop, fact = (tables[t] for t in ("dim_operator", "dim_stop", "fact_delay_event"))
-    return (
-        quality.pk_violations(
+    return quality.pk_violations(
+        {
+            "dim_operator.operator": (dim_operator, ["operator"]),
+            "dim_stop.stop_id": (dim_stop, ["stop_id"]),
+            "fact_delay_event.event_id": (fact, ["event_id"]),
+        }
+    ).union(
+        quality.fk_violations(
             {
-                "dim_operator.operator": (dim_operator, ["operator"]),
-                "dim_stop.stop_id": (dim_stop, ["stop_id"]),
-                "fact_delay_event.event_id": (fact, ["event_id"]),
+                "fact_delay_event.operator": (fact, "operator", dim_operator, "operator"),
+                "fact_delay_event.stop_id": (fact, "stop_id", dim_stop, "stop_id"),
             }
         )
-        .union(
-            quality.fk_violations(
-                {
-                    "fact_delay_event.operator": (fact, "operator", dim_operator, "operator"),
-                    "fact_delay_event.stop_id": (fact, "stop_id", dim_stop, "stop_id"),
-                }
-            )
-        )
-        .union(
-            quality.null_violations({"fact_delay_event": (fact, ["service_date", "operator", "delay_min"])})
-        )
     )
 
 
+def star_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """All declared constraints of the star schema, one row each."""
+    required = {name: (tables[name], columns) for name, columns in STAR_NOT_NULL.items()}
+    return star_key_violations(tables).union(quality.null_violations(required))
+
+
+STAR = ["dim_operator", "dim_stop", "fact_delay_event"]
+
+
 def load_star(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    """Stores the star schema after checking what was staged; nothing is replaced if a check fails."""
+    """Stores a new version of the star schema and commits it once it is whole and clean.
+
+    Until then, and if a write or a check fails, readers see the version before. NULLs are counted while the
+    tables are written; keys are checked on what was written, which is not copied again.
+    """
     feed = read_silver_timetable(spark, lake.timetable)
     tables = star_tables(sinks.read_delay_events(spark, lake.delay_events), feed)
-    stage = stage_tables(spark)
-    staged = {name: stage(rows, name) for name, rows in tables.items()}
-    quality.require_clean(star_violations(staged))
-    sinks.write_tables(staged, lake.star, at_once=1)
-    return {name: spark.read.parquet(f"{lake.star}/{name}") for name in staged}
+    version = sinks.new_version()
+    counts = sinks.write_tables(tables, f"{lake.star}/{version}", at_once=1, not_null=STAR_NOT_NULL)
+    written = {name: spark.read.parquet(f"{lake.star}/{version}/{name}") for name in STAR}
+    quality.require_none({f"{t}.{c}": counts[t][c] for t, columns in STAR_NOT_NULL.items() for c in columns})
+    quality.require_clean(star_key_violations(written))
+    sinks.commit_version(spark, lake.star, version)
+    return written
+
+
+def read_star(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """The star schema last committed."""
+    return sinks.read_committed(spark, lake.star, STAR)
 
 
 def train_models(spark: SparkSession, lake: Lake) -> DataFrame:

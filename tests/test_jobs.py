@@ -6,6 +6,7 @@ from dataclasses import fields, replace
 import pytest
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from helpers import rows_of
@@ -51,7 +52,10 @@ def lake(spark, small, tmp_path_factory):
 
 
 def test_from_raw_files_to_reports(spark, small, lake):
-    jobs.ingest_timetable(spark, lake)
+    counts = jobs.ingest_timetable(spark, lake)
+    assert {t: c[sinks.ROWS] for t, c in counts.items()} == {
+        f.name: spark.read.parquet(f"{lake.timetable}/{f.name}").count() for f in fields(Timetable)
+    }
     jobs.ingest_positions(spark, lake, DATES)
     jobs.ingest_positions(spark, lake, DATES[:1])  # again: the day is replaced, not doubled
     stored = position_source.read_positions(spark, lake.positions)
@@ -72,6 +76,8 @@ def test_from_raw_files_to_reports(spark, small, lake):
     assert star["fact_delay_event"].count() == events.count()
     assert {r.violations for r in jobs.star_violations(star).collect()} == {0}
 
+    assert rows_of(jobs.read_star(spark, lake)["fact_delay_event"]) == rows_of(star["fact_delay_event"])
+
     linear = LinearRegression(labelCol="delay_min", featuresCol="features")
     grid = ParamGridBuilder().addGrid(linear.regParam, [0.0]).build()
     comparison = regression.compare_models(events, [("LinearRegression", linear, grid)])
@@ -79,3 +85,51 @@ def test_from_raw_files_to_reports(spark, small, lake):
     assert rows_of(sinks.read_model_comparison(spark, lake.model_comparison), "model") == [
         ("Baseline (mean)",), ("LinearRegression",)
     ]
+
+
+def test_a_load_that_fails_between_two_tables_shows_readers_the_version_before(spark, tmp_path):
+    def tables(n):
+        return {"a": spark.range(n).toDF("id"), "b": spark.range(n).select(F.when(F.col("id") > 0, F.col("id")).alias("id"))}
+
+    def load(some):
+        version = sinks.new_version()
+        counts = sinks.write_tables(some, f"{tmp_path}/{version}", at_once=1, not_null={"b": ["id"]})
+        sinks.commit_version(spark, str(tmp_path), version)
+        return counts
+
+    with pytest.raises(FileNotFoundError):
+        sinks.read_committed(spark, str(tmp_path), ["a"])
+    assert load(tables(3)) == {"a": {"rows": 3}, "b": {"rows": 3, "id": 1}}
+    broken = tables(5) | {"b": spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id"))}
+    with pytest.raises(Exception, match="no"):
+        load(broken)
+    seen = sinks.read_committed(spark, str(tmp_path), ["a", "b"])
+    assert {name: rows.count() for name, rows in seen.items()} == {"a": 3, "b": 3}
+    assert load(tables(0)) == {"a": {"rows": 0}, "b": {"rows": 0, "id": 0}}
+    assert sinks.read_committed(spark, str(tmp_path), ["b"])["b"].count() == 0
+    assert {name: rows.count() for name, rows in seen.items()} == {"a": 3, "b": 3}  # a reader keeps its version
+
+
+def test_counts_while_writing_take_no_further_job(spark, tmp_path):
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs_of(group, run):
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            run()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(group))
+
+    rows = spark.range(1000).withColumn("even", F.when(F.col("id") % 2 == 0, F.col("id")))
+    plain = jobs_of("plain", lambda: rows.write.parquet(f"{tmp_path}/plain"))
+    seen = {}
+
+    def counted():
+        watch = Observation()
+        rows.observe(watch, F.count_if(F.col("even").isNull()).alias("n")).write.parquet(f"{tmp_path}/seen")
+        seen.update(watch.get)
+
+    assert jobs_of("counted", counted) == plain > 0
+    assert seen == {"n": 500}
+    assert sinks.write_tables({"t": rows}, str(tmp_path), not_null={"t": ["even"]}) == {"t": {"rows": 1000, "even": 500}}

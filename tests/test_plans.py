@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from helpers import rows_of
 from punctual.checks import landing
-from punctual.operators import matching, reports, star
+from punctual.operators import layout, matching, reports, schedule, star
 from punctual.plans.reconstruction import Reconstruction
 from punctual.plans.shared import shared_folder
 
@@ -79,3 +80,15 @@ def test_stage_reads_back_the_same_rows(spark, small):
     lazy = Reconstruction(run.feed, run.positions, run.service_dates).events
     assert stored.exceptAll(lazy).count() == 0 == lazy.exceptAll(stored).count()
     assert stored.where(F.col("delay_min").isNull()).count() == 0
+
+
+def test_a_bucketed_timetable_is_not_shuffled_by_trip(spark, small):
+    feed = landing.timetable(spark, small)
+    calls = layout.store_bucketed(feed.stop_times, "calls_by_trip", 4, "trip_id")
+    trips = layout.store_bucketed(feed.trips, "trips_by_trip", 4, "trip_id")
+    visits = schedule.first_visits(schedule.located_calls(calls, feed.stops))
+    assert "Exchange hashpartitioning" not in plan_of(visits)
+    assert "Exchange hashpartitioning" not in plan_of(schedule.trip_origins(visits))
+    joined = plan_of(calls.join(trips.hint("merge"), "trip_id"))
+    assert "SortMergeJoin" in joined and "Exchange" not in joined
+    assert rows_of(visits) == rows_of(schedule.first_visits(schedule.located_calls(feed.stop_times, feed.stops)))

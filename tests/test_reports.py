@@ -234,7 +234,10 @@ def test_layout(spark, small, tmp_path):
     few = layout.enrich_with_group_counts(events)
     text = layout.plan_text(few)
     assert "BroadcastHashJoin" in text and "== Physical Plan ==" in text
-    (tmp_path / "plan.txt").write_text(text)
+    for mode in ("extended", "formatted"):  # the second one replaces the first
+        layout.save_plan(few, f"{tmp_path}/plan.txt", mode)
+    assert "(1) Scan parquet" in (tmp_path / "plan.txt").read_text()
+    assert [f.name for f in tmp_path.iterdir() if not f.name.startswith(".")] == ["plan.txt"]
     sizes = defaultdict(int)
     for r in events.collect():
         sizes[r.operator] += 1
