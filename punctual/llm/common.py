@@ -58,6 +58,16 @@ def row_key(df: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     return F.xxhash64(F.col(id_column), F.col(text_column), F.length(text_column))
 
 
+def set_aside(df: DataFrame) -> list[F.Column]:
+    """All columns of df under names (`column0`, ...) that no operator uses; see `restored`."""
+    return [F.col("`" + c.replace("`", "``") + "`").alias(f"column{i}") for i, c in enumerate(df.columns)]
+
+
+def restored(df: DataFrame) -> list[F.Column]:
+    """The columns that `set_aside` renamed, as df has them."""
+    return [F.col(f"column{i}").alias(c) for i, c in enumerate(df.columns)]
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut so that one holds about `limit` bytes of text, or a single row."""
     for batch in batches:

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from punctual.llm.common import stored, table
+from punctual.llm.common import restored, set_aside, stored, table
 
 SEED = 7
 MAX_EPOCHS = 2
@@ -102,19 +102,27 @@ def mixed(rows: DataFrame, id_column: str, tokens: Column, budget_share: float,
     and blank texts have 0 tokens and ride along where the prefix passes them. Repeated rows are rows of their
     own. An empty table, or one without tokens, gives no partial epoch. The leaf table is small and stored, so
     its size is known when the rows are joined to it: broadcast if it is small, else a skew-proof join.
+    All columns of rows come through: where one has the name of an added column, that one gets a further
+    underscore in front.
     """
-    names = list(levels)
-    marked = rows.withColumns({f"_{n}": F.coalesce(c.cast("string"), F.lit("")) for n, c in levels.items()}).withColumn("_tokens", tokens)
-    slim = stored(marked.select(F.col(id_column).alias("id"), *(F.col(f"_{n}").alias(n) for n in names), F.col("_tokens").alias("tokens")), "mixing-rows")
-    leaf = plan(slim, budget_share, names, weights, max_epochs, seed).select(*(F.col(n).alias(f"_{n}") for n in names), *(F.col(c).alias(f"_{c}") for c in ("epochs", "rest", "cut", "before")))
-    joined = marked.join(leaf, [f"_{n}" for n in names])
-    whole = joined.where("_epochs > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_epochs"))))
-    last = joined.where("_rest > 0").withColumn("_epoch", F.col("_epochs") + 1).withColumn("_key", _order_key(F.col(id_column), F.col("_epoch"), seed))
-    range_ = F.substring("_key", 1, RANGE_DIGITS)
-    inside = last.where(F.col("_cut").isNull() | (range_ < F.col("_cut")))
-    order = Window.partitionBy(*(f"_{n}" for n in names)).orderBy("_key", id_column, "_tokens").rowsBetween(Window.unboundedPreceding, 0)
-    edge = last.where(range_ == F.col("_cut")).withColumn("_upto", F.col("_before") + F.sum("_tokens").over(order)).where("_upto <= _rest").drop("_upto")
-    out = [*rows.columns, *(f"_{n}" for n in names), "_epoch", "_tokens"]
+    names = [f"level{i}" for i in range(len(levels))]
+    paths = (F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in zip(names, levels.values(), strict=True))
+    marked = rows.select(*set_aside(rows), F.col(id_column).alias("id"), *paths, tokens.alias("tokens"))
+    slim = stored(marked.select("id", *names, "tokens"), "mixing-rows")
+    leaf = plan(slim, budget_share, names, weights, max_epochs, seed).select(*names, "epochs", "rest", "cut", "before")
+    joined = marked.join(leaf, names)
+    whole = joined.where("epochs > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("epochs"))))
+    last = joined.where("rest > 0").withColumn("epoch", F.col("epochs") + 1).withColumn("key", _order_key(F.col("id"), F.col("epoch"), seed))
+    range_ = F.substring("key", 1, RANGE_DIGITS)
+    inside = last.where(F.col("cut").isNull() | (range_ < F.col("cut")))
+    order = Window.partitionBy(*names).orderBy("key", "id", "tokens").rowsBetween(Window.unboundedPreceding, 0)
+    edge = last.where(range_ == F.col("cut")).withColumn("upto", F.col("before") + F.sum("tokens").over(order)).where("upto <= rest")
+
+    def free(name: str) -> str:
+        return free(f"_{name}") if name in rows.columns else name
+
+    added = dict(zip([*names, "epoch", "tokens"], [*levels, "epoch", "tokens"], strict=True))
+    out = [*restored(rows), *(F.col(n).alias(free(f"_{shown}")) for n, shown in added.items())]
     return whole.select(out).union(inside.select(out)).union(edge.select(out))
 
 

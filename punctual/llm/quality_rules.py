@@ -14,7 +14,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.llm.common import table
+from punctual.llm.common import restored, set_aside, table
 
 BUCKETS = 4096
 UNIT = 1 << 20
@@ -130,15 +130,15 @@ def _mean_ratio(tokens: Column, weights: Column) -> Column:
 
 
 def judged(docs: DataFrame, weights: list[int], text_column: str = "text", min_ratio: float = MIN_RATIO) -> DataFrame:
-    """docs with the struct column `_quality`: base counts, base_failed, kept and log_ratio (nats)."""
+    """The columns of docs, set aside, and the struct `quality`: base counts, base_failed, kept and log_ratio (nats)."""
     text = F.coalesce(F.col(text_column), F.lit(""))
     table_ = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")
-    counted = docs.withColumn("_base", base_counts(text)).withColumn("_ratio", _mean_ratio(tokens_of(text), table_))
-    b = lambda name: F.col("_base")[name]
+    counted = docs.select(*set_aside(docs), base_counts(text).alias("base"), _mean_ratio(tokens_of(text), table_).alias("ratio"))
+    b = lambda name: F.col("base")[name]
     failed = (b("n_words") < MIN_WORDS) | (100 * b("n_repeat_words") > MAX_REPEATED * b("n_words"))
-    kept = ~failed & (F.col("_ratio") >= min_ratio * UNIT)
-    quality = F.struct(*[b(c).alias(c) for c in BASE], failed.alias("base_failed"), kept.alias("kept"), (F.col("_ratio") / UNIT).alias("log_ratio"))
-    return counted.withColumn("_quality", quality).drop("_base", "_ratio")
+    kept = ~failed & (F.col("ratio") >= min_ratio * UNIT)
+    quality = F.struct(*[b(c).alias(c) for c in BASE], failed.alias("base_failed"), kept.alias("kept"), (F.col("ratio") / UNIT).alias("log_ratio"))
+    return counted.withColumn("quality", quality).drop("base", "ratio")
 
 
 def quality_rules(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_ratio: float = MIN_RATIO) -> DataFrame:
@@ -150,14 +150,14 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id"
     multinomial; further columns are left out; an empty table gives an empty result.
     """
     weights = log_ratios(docs, trusted, id_column, text_column)
-    found = judged(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")), weights, "text", min_ratio)
-    return found.select("id", "_quality.*")
+    slim = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    return judged(slim, weights, "text", min_ratio).select(F.col("column0").alias("id"), "quality.*")
 
 
 def passed(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_ratio: float = MIN_RATIO) -> DataFrame:
     """The rows of docs that the rules keep, unchanged."""
     weights = log_ratios(docs, trusted, id_column, text_column)
-    return judged(docs, weights, text_column, min_ratio).where("_quality.kept").drop("_quality")
+    return judged(docs, weights, text_column, min_ratio).where("quality.kept").select(*restored(docs))
 
 
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.llm.common import row_key, slices, stored, table, text_bytes
+from punctual.llm.common import restored, row_key, set_aside, slices, stored, table, text_bytes
 from punctual.llm.components import components
 
 BITS = 64
@@ -246,9 +246,9 @@ def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     key = row_key(docs, id_column, text_column)
     order = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), key.alias("key"))
     found = near_duplicates(docs.select(order.alias("id"), F.col(text_column).alias("text")), "id", "text")
-    kept = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id.key").alias("_key")).distinct()
-    one = docs.withColumn("_key", key).join(kept, "_key", "left_semi")
-    return one.dropDuplicates(["_key"]).drop("_key")
+    kept = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id.key").alias("key")).distinct()
+    one = docs.select(key.alias("key"), *set_aside(docs)).join(kept, "key", "left_semi")
+    return one.dropDuplicates(["key"]).select(*restored(docs))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
