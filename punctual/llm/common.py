@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -143,10 +143,11 @@ class PieceCache:
         if len(self.index) > self.limit:
             self._next_generation()
         get = self.index.get
-        places = np.array([get(piece, -1) for piece in pieces], dtype=np.int64)
+        places = np.fromiter(map(get, pieces, repeat(-1)), np.int64, len(pieces))
         missing = np.flatnonzero(places < 0)
         if missing.size:
-            new = list(dict.fromkeys([pieces[i] for i in missing]))
+            unmet = [pieces[i] for i in missing.tolist()]
+            new = list(dict.fromkeys(unmet))
             if self.before is not None:
                 known, starts, lengths, flat = self.before
                 old = [p for p in new if p in known]
@@ -154,8 +155,7 @@ class PieceCache:
                 self._add(old, [flat[starts[i] : starts[i] + lengths[i]] for i in at])
                 new = [p for p in new if p not in known]
             self._add(new, self.compute(new) if new else [])
-            index = self.index
-            places[missing] = [index[pieces[i]] for i in missing]
+            places[missing] = np.fromiter(map(self.index.__getitem__, unmet), np.int64, len(unmet))
         return places
 
     def _add(self, new: list, values: Sequence) -> None:

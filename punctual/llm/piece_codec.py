@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ from punctual.llm.common import PieceCache, slices, sums_by_row, table, text_byt
 MARK = "▁"
 INDEXED_CHARACTERS = 200_000
 PARTS_KEPT = 300_000
+PAIRS_KEPT = 400_000
+OWN = -1  # a character that is a token of its own and in no piece
 _WORKER: dict = {}
 
 
@@ -51,6 +54,7 @@ class PieceCodec:
         self.letter = np.zeros(0x110001, ">u2")
         self.letter[[ord(c) for c in letters]] = np.arange(2, len(letters) + 2)
         self.pieces = sorted(self.id_of)
+        self.piece_ids = [self.id_of[name] for name in self.pieces]
         low = np.zeros((len(self.pieces), self.depth), ">u2")
         for i, name in enumerate(self.pieces):
             low[i, : len(name)] = self.letter[[ord(c) for c in name]]
@@ -61,7 +65,8 @@ class PieceCodec:
         beside = {(ord(a), ord(b)) for name in self.id_of for a, b in zip(name[:-1], name[1:], strict=True)}
         left, right = (self.letter[list(side)].astype(np.int64) for side in zip(*beside, strict=True))
         self.pairs = np.sort(left << 16 | right)
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, tuple[int, ...]] = {}  # tuples, which the garbage collector need not visit
+        self.follows: dict[int, bool] = {}  # two pieces as one number: whether the second may follow the first
         self.cache = PieceCache(self._encode_stretches, limit=350_000)
         self.decoded = [self._shown(i, names[i]) for i in range(size)]
 
@@ -93,7 +98,7 @@ class PieceCodec:
         order = np.lexsort((start, end))
         return start[order], end[order], piece[order]
 
-    def _encode_stretches(self, stretches: list[str]) -> list[list[int]]:
+    def _encode_stretches(self, stretches: list[str]) -> list[tuple[int, ...]]:
         """By parts: two neighbours that no piece holds side by side cannot end up in one token."""
         if len(self.parts) > PARTS_KEPT:
             self.parts.clear()
@@ -120,46 +125,63 @@ class PieceCodec:
             known.update(zip(some, self._relaxed(some), strict=True))
         counts = np.bincount(np.searchsorted(ends, starts), minlength=len(stretches))
         bounds = np.concatenate([[0], np.cumsum(counts)]).tolist()
-        return [known[parts[a]] if b == a + 1 else [i for p in parts[a:b] for i in known[p]] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        return [known[parts[a]] if b == a + 1 else tuple(chain.from_iterable(map(known.__getitem__, parts[a:b]))) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
-    def _relaxed(self, stretches: list[str]) -> list[list[int]]:
+    def _relaxed(self, stretches: list[str]) -> list[tuple[int, ...]]:
         text = "\x00".join(stretches) + "\x00"
-        starts, ends, pieces = (x.tolist() for x in self.edges(text))
-        n, names, suits, ids = len(text), self.pieces, self.rule.suits, self.id_of
-        token: list = [None] * (n + 1)  # by place: the token that ends there
-        came: list = [-1] * (n + 1)  # and where it starts
-        place, i, edges = 0, 0, len(starts)
+        starts, ends, pieces = self.edges(text)
+        bounds = np.searchsorted(ends, np.arange(len(text) + 2)).tolist()  # by place: its edges, the longest first
+        starts, pieces = starts.tolist(), pieces.tolist()
+        if len(self.follows) > PAIRS_KEPT:
+            self.follows.clear()
+        follows, names, size = self.follows, self.pieces, len(self.pieces)
+        known, suits = follows.get, self.rule.suits
+        token = [OWN] * (len(text) + 1)  # by place: the piece that ends there
+        came = list(range(-1, len(text)))  # and where it starts
+        place = 0
         out = []
         for stretch in stretches:
             begin, stop = place, place + len(stretch)
             for here in range(begin + 1, stop + 1):
-                while i < edges and ends[i] < here:
-                    i += 1
-                while i < edges and ends[i] == here:
-                    start = starts[i]
-                    if start >= begin:
-                        name = names[pieces[i]]
-                        if suits(token[start] if start > begin else None, name):
-                            token[here], came[here] = name, start
-                            break
-                    i += 1
-                if token[here] is None:  # in no piece: a token of its own that nothing merges with
-                    token[here], came[here] = text[here - 1], here - 1
+                for i in range(bounds[here], bounds[here + 1]):
+                    start, piece = starts[i], pieces[i]
+                    if start > begin:
+                        left = token[start]
+                    elif start == begin:
+                        left = size
+                    else:
+                        continue
+                    if left == OWN:
+                        found = suits(text[start - 1], names[piece])
+                    else:
+                        key = left * size + piece
+                        found = known(key)
+                        if found is None:
+                            found = follows[key] = suits(None if left == size else names[left], names[piece])
+                    if found:
+                        token[here], came[here] = piece, start
+                        break
             found, here = [], stop
             while here > begin:
-                name = token[here]
-                known = ids.get(name)
-                if known is not None:
-                    found.append(known)
-                elif self.byte_ids:
-                    found += [self.byte_ids[b] for b in reversed(name.encode("utf-8", "replace"))]
+                piece = token[here]
+                if piece >= 0:
+                    found.append(self.piece_ids[piece])
                 else:
-                    found.append(self.unknown)
+                    found += self._own(text[here - 1])
                 here = came[here]
-            out.append(found[::-1])
+            out.append(tuple(found[::-1]))
             place = stop + 1
         return out
 
+    def _own(self, letter: str) -> list[int]:
+        """The ids of a character that no piece ends with here, the last first."""
+        known = self.id_of.get(letter)
+        if known is not None:
+            return [known]
+        if self.byte_ids:
+            return [self.byte_ids[b] for b in reversed(letter.encode("utf-8", "replace"))]
+        return [self.unknown]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
         split = [self.stretch.findall(self.model.normalize(t)) if t else [] for t in texts]

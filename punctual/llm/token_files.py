@@ -12,6 +12,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,21 +26,23 @@ ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 500
 FILE_SCHEMA = "part int, local_start long, n_tokens int, ids array<int>"
-WORDS_KEPT = 250_000
-PARTS_KEPT = 400_000
-# Latin-1 letters, single digits and other signs of ASCII: the same cuts as the tokenizer's own pattern makes
-PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-PLAIN = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+").fullmatch
+PIECES_KEPT = 300_000
+# Texts and words of white space, ASCII signs and Latin-1 letters, and the cuts that the tokenizer's pattern makes there
+PLAIN = re.compile("[\t-\r !-~À-ÖØ-öø-ÿ]*").fullmatch
+PARTS = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-zß-öø-ÿ0-9]+")
+# Fixed values of byte-level tokenizers: these bytes stand for themselves, the others for the signs from U+0100 on
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_SIGNS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(SHOWN)))}
 _WORKER: dict = {}
 
 
 class WordEncoder:
-    """ids of a text by the tokenizers library, through the words it is made of.
+    """ids of a text by the tokenizers library, through the pieces it is made of.
 
     Only for tokenizers that lower the case, drop white space and cut at the borders of letters, digits and signs
-    before they merge, so that no token crosses these. A word that was not met before is put together from its
-    parts, and the library encodes each part once. Words with an apostrophe, with a special token or beyond
-    Latin-1 letters go to the library whole, a special token between them.
+    before they merge, so that no token crosses these. A plain text is cut into its parts here, and the library's
+    model encodes each part once. Other texts are cut into words; those beyond Latin-1 letters or with a special
+    token go to the library whole, a special token between them.
     """
 
     def __init__(self, path: str):
@@ -47,12 +50,15 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         special = self.tokenizer.get_added_tokens_decoder()
         self.fence, token = next(iter(sorted(special.items())))
         self.fence_text = token.content
-        self.special = [t.content.encode() for t in special.values()]
-        self.cache = PieceCache(self._encode_words, limit=WORDS_KEPT)
-        self.parts: dict[str, list[int]] = {}
+        self.special = [t.content for t in special.values()]
+        self.cache = PieceCache(self._encode_pieces, limit=PIECES_KEPT)
+
+    def _is_plain(self, text: str) -> bool:
+        return PLAIN(text) is not None and not ("<" in text and any(x.lower() in text.lower() for x in self.special))
 
     def _between_fences(self, pieces: list[str]) -> list[list[int]]:
         found = []
@@ -63,32 +69,34 @@ class WordEncoder:
             found += [one[a + 1 : b] for a, b in zip([-1, *ends], [*ends, len(one)], strict=True)]
         return found
 
-    def _encode_words(self, words: list[bytes]) -> list[list[int]]:
-        if len(self.parts) > PARTS_KEPT:
-            self.parts.clear()
-        texts = [w.decode("utf-8", "replace") for w in words]
-        split = [PARTS.findall(t.lower()) if PLAIN(t) else None for t in texts]
-        known = self.parts
-        new = [p for p in dict.fromkeys(p for parts in split if parts for p in parts) if p not in known]
-        known.update(zip(new, self._between_fences(new), strict=True))
-        whole = [t for t, parts in zip(texts, split, strict=True) if parts is None]
-        fenced = [t for t in whole if self.fence_text not in t]
-        found = dict(zip(fenced, self._between_fences(fenced), strict=True))
-        out = []
-        for text, parts in zip(texts, split, strict=True):
-            if parts is None:
-                out.append(found[text] if text in found else self.tokenizer.encode(text, add_special_tokens=False).ids)
-            elif len(parts) == 1:
-                out.append(known[parts[0]])
-            else:
-                out.append([i for p in parts for i in known[p]])
-        return out
+    def _encode_part(self, part: str) -> list[int]:
+        signs = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_SIGNS)
+        return [token.id for token in self.model.tokenize(signs)]
+
+    def _encode_word(self, word: str) -> list[int]:
+        if self._is_plain(word):
+            return [i for part in PARTS.findall(word.lower()) for i in self._encode_part(part)]
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def _encode_pieces(self, pieces: list[str | bytes]) -> list[list[int]]:
+        """Parts of plain texts (str) and words of others (bytes)."""
+        words = [p.decode("utf-8", "replace") for p in pieces if isinstance(p, bytes)]
+        odd = [w for w in words if not PLAIN(w) and self.fence_text not in w]
+        fenced = dict(zip(odd, self._between_fences(odd), strict=True))
+        of_words = iter([fenced[w] if w in fenced else self._encode_word(w) for w in words])
+        return [next(of_words) if isinstance(p, bytes) else self._encode_part(p) for p in pieces]
+
+    def _pieces(self, text: bytes) -> list[str] | list[bytes]:
+        shown = text.decode("utf-8", "replace")
+        if self._is_plain(shown):
+            return PARTS.findall(shown.lower())
+        # lower-casing letters of ASCII first only makes words alike that the tokenizer would make alike
+        return (text if any(x.encode() in text for x in self.special) else text.lower()).split()
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
-        # lower-casing letters of ASCII first only makes words alike that the tokenizer would make alike
-        split = [(t if any(x in t for x in self.special) else t.lower()).split() for t in texts]
-        places = self.cache.places([w for words in split for w in words])
+        split = [self._pieces(t) for t in texts]
+        places = self.cache.places(list(chain.from_iterable(split)))
         ids, lengths = self.cache.expand(places)
         return ids, sums_by_row(lengths, np.fromiter(map(len, split), np.int64, len(split)))
 
