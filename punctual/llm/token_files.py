@@ -90,8 +90,10 @@ class WordEncoder:
         shown = text.decode("utf-8", "replace")
         if self._is_plain(shown):
             return PARTS.findall(shown.lower())
-        # lower-casing letters of ASCII first only makes words alike that the tokenizer would make alike
-        return (text if any(x.encode() in text for x in self.special) else text.lower()).split()
+        # lower-casing letters of ASCII first only makes words alike that the tokenizer would make alike, but for
+        # the strings of special tokens
+        lowered = text.lower()
+        return (text if any(x.lower().encode() in lowered for x in self.special) else lowered).split()
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""

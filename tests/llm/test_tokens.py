@@ -37,6 +37,20 @@ def test_token_files_hold_what_the_library_gives(spark, documents, odd_rows, tok
     assert "ids" not in metadata.columns and metadata.count() == len(rows)
 
 
+def test_words_and_parts_are_cut_as_the_library_cuts_them(tokenizers_here):
+    from tokenizers import Tokenizer
+
+    path = tokenizers_here.path("word_bpe_49k.json")
+    pieces = ["don't", "IT'S", "''s", "!'s", "'tis", "<|ENDOFTEXT|>", "<|endoftext|>", "<|", "Été", "Ÿ", "²", " ", "\x0b", "\x1c", "\xa0", "1", "23", "a", "(x)", "--", "你好", "e\u0301", "ΣΑΣ"]
+    source = random.Random(3)
+    texts = ["".join(source.choice(pieces[:n]) for _ in range(source.randint(0, 20))) for n in (5, 10, 18, len(pieces)) for _ in range(400)]
+    library = Tokenizer.from_file(path)
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, counts = token_files.WordEncoder(path).encode([t.encode() for t in texts])
+    ends = np.cumsum(counts)
+    assert [ids[a:b].tolist() for a, b in zip(ends - counts, ends, strict=True)] == expected
+
+
 def test_selective_reads_leave_the_lists_alone(spark, documents, tokenizers_here):
     files = new_path(spark, "tokens")
     token_files.write_token_files(documents([(i, f"text {i}") for i in range(50)]), files, tokenizers_here.path("word_bpe_49k.json"))
