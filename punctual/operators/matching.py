@@ -11,7 +11,7 @@ from punctual import schemas
 from punctual.functions.geo import cells_within, grid_cell, haversine_m, reach_lat, reach_lon
 from punctual.functions.measures import delay_minutes
 from punctual.functions.times import is_on_service_day, local_seconds_of_day
-from punctual.operators.skew import repeat_for_salts, salt_rows
+from punctual.operators.skew import possible_members, repeat_for_salts, salt_rows
 from punctual.settings import (
     DELAY_MAX_MINUTES,
     DELAY_MIN_MINUTES,
@@ -196,11 +196,13 @@ def snap_candidates(
 ) -> DataFrame:
     """Pings of pinned journeys near a stop of the journey's trip.
 
-    The stops are hung on the journeys first. So the pings, by far the largest table, are shuffled once.
-    `hot` (see `operators.skew`) names journeys with an outsized share of all pings, which are sliced.
+    The stops are hung on the journeys first. So the pings, by far the largest table, are shuffled once, and
+    a Bloom filter of the pinned journeys keeps most pings of other journeys out of that shuffle. `pinned` is
+    read for it at once; give it a stored table. `hot` (see `operators.skew`) names journeys with an outsized share of all pings, which are sliced.
     """
     keys = list(OBSERVED_KEY)
     sites = pinned.select(*keys, "trip_id", "direction_id").join(visits, "trip_id")
+    pings = possible_members(pings, pinned, keys)
     if hot is not None:
         pings = salt_rows(pings, hot, keys)
         sites = repeat_for_salts(sites, hot, keys)

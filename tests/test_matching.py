@@ -237,6 +237,19 @@ def test_hot_journey_is_sliced_without_changing_the_result(spark, inputs):
     assert rows_of(run.delay_events, *COLUMNS) == rows_of(events_of(feed, positions).delay_events, *COLUMNS)
 
 
+def test_a_filter_of_members_keeps_every_member(spark):
+    rows = spark.range(20_000).select((F.col("id") % 5000).cast("string").alias("a"), F.when(F.col("id") % 7 > 0, F.col("id") % 3).alias("b"), F.col("id").alias("v"))
+    members = rows.where("v % 11 = 0").select("a", "b").distinct()
+    inside = rows.join(members, (rows.a == members.a) & rows.b.eqNullSafe(members.b), "left_semi")
+    kept = skew.possible_members(rows, members, ["a", "b"])
+    assert kept.columns == rows.columns
+    assert inside.exceptAll(kept).count() == 0
+    others = rows.count() - inside.count()
+    assert kept.count() - inside.count() < others / 8
+    assert skew.possible_members(rows, members.where("false"), ["a", "b"]).count() == 0
+    assert skew.possible_members(rows, members, ["a", "b"], max_words=4) is rows
+
+
 def test_evenly_spread_keys_are_left_alone(spark):
     sizes = spark.range(5000).select(F.col("id").alias("k"), F.lit(7).cast("bigint").alias("n"))
     assert skew.hot_keys(sizes, ["k"]) is None

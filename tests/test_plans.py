@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows_of
 from punctual.checks import landing
-from punctual.operators import layout, matching, reports, schedule, star
+from punctual.operators import layout, matching, reports, schedule, skew, star
 from punctual.plans.reconstruction import Reconstruction
 from punctual.plans.shared import shared_folder
 
@@ -44,6 +44,19 @@ def test_pings_are_shuffled_once(spark, small):
     assert any("_cell_lat" in line and "SortMergeJoin" in line for line in above)
 
 
+def test_pings_of_no_pinned_journey_are_not_shuffled(spark, small):
+    run = landing.reconstruction(spark, small)
+    few = run.pinned.where("pmod(xxhash64(origin_aimed_departure), 4) = 0")
+    kept = skew.possible_members(run.pings, few, matching.OBSERVED_KEY)
+    plan = plan_of(kept)
+    assert "BroadcastHashJoin [_word" in plan and "hashpartitioning(service_date" not in plan and "getbit" in plan
+    pinned = run.pings.join(few, matching.OBSERVED_KEY, "left_semi")
+    assert pinned.exceptAll(kept).count() == 0
+    unpinned = run.pings.count() - pinned.count()
+    assert 0 < unpinned and kept.count() - pinned.count() < unpinned / 4
+    assert rows_of(matching.snap_candidates(run.pings, few, run.visits)) == rows_of(run.candidates.join(few, matching.OBSERVED_KEY, "left_semi"))
+
+
 def test_groups_are_combined_before_the_shuffle(spark, small):
     events = landing.all_events(spark, small)
     for report in (reports.delay_by_hour(events), reports.headline_metrics(events), reports.least_reliable_lines(events)):
