@@ -12,12 +12,14 @@ symbols of the highest level that were decided inside it, and shared anchors rev
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from xxhash import xxh3_64_intdigest
 
-from punctual.llm.common import PieceCache, mix, stored, table
+from punctual.llm.common import mix, stored, table
 from punctual.llm.windows import POSITION_BITS, Scanned, covered, cut_texts, gaps_of, keyed_texts, repeated_windows, span_lists
 
 WINDOW = 50
@@ -73,22 +75,14 @@ class Level:
 
 
 class Recompressor:
-    def __init__(self):
-        from xxhash import xxh3_64_intdigest
-
-        def names(words: list[bytes]) -> np.ndarray:
-            return np.array([xxh3_64_intdigest(w) for w in words], np.uint64)[:, None]
-
-        self.cache = PieceCache(names, limit=350_000, dtype=np.uint64)
-
     def __call__(self, column: pa.Array) -> Scanned:
         split = [t.split() for t in column.to_pylist()]
         bounds = np.concatenate([[0], np.cumsum([len(s) for s in split])]).astype(np.int64)
-        words, _ = self.cache.expand(self.cache.places([w for s in split for w in s]))
+        # naming a word takes less time than looking up whether it has a name
+        words = np.fromiter(map(xxh3_64_intdigest, chain.from_iterable(split)), np.uint64, int(bounds[-1]))
         return self.scan(words, bounds)
 
     def scan(self, words: np.ndarray, bounds: np.ndarray) -> Scanned:
-        n = len(words)
         named = np.concatenate([words, np.zeros(2 * WINDOW, np.uint64)])
         for offset in (1, 2, 4, 8, 16):
             named = mix(named[:-offset], named[offset:])
@@ -96,6 +90,10 @@ class Recompressor:
         def window_names(places: np.ndarray) -> np.ndarray:
             return mix(named[places], named[places + WINDOW - 32])
 
+        return Scanned(bounds, WINDOW, lambda: self.anchors(words, bounds), window_names)
+
+    def anchors(self, words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(words)
         here = np.arange(n)
         text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         levels = [Level(words, here, here, here + 1, text)]
@@ -109,7 +107,7 @@ class Recompressor:
             found = place >= 0
             anchor[rest[found]], names[rest[found]] = place[found], name[found]
             rest = rest[~found]
-        return Scanned(bounds, WINDOW, anchor, names, window_names)
+        return anchor, names
 
     @staticmethod
     def chosen(level: Level, windows: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:

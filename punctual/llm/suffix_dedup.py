@@ -39,11 +39,14 @@ def _scan(column: pa.Array) -> Scanned:
     def at_200(places: np.ndarray) -> np.ndarray:
         return mix(at_128(places), at_128(places + 72))
 
-    here = np.arange(len(pointers), dtype=np.uint64)
-    ranked = (pointers & ~np.uint64((1 << POSITION_BITS) - 1)) | here
-    least = range_minimum(ranked, WINDOW - Q + 1)
-    anchor = (least & np.uint64((1 << POSITION_BITS) - 1)).astype(np.int64)
-    return Scanned(bounds, WINDOW, anchor, pointers[anchor], at_200)
+    def anchors() -> tuple[np.ndarray, np.ndarray]:
+        here = np.arange(len(pointers), dtype=np.uint64)
+        ranked = (pointers & ~np.uint64((1 << POSITION_BITS) - 1)) | here
+        least = range_minimum(ranked, WINDOW - Q + 1)
+        anchor = (least & np.uint64((1 << POSITION_BITS) - 1)).astype(np.int64)
+        return anchor, pointers[anchor]
+
+    return Scanned(bounds, WINDOW, anchors, at_200)
 
 
 def _make_scan():

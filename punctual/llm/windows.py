@@ -35,12 +35,11 @@ Scan = Callable[[np.ndarray, np.ndarray], "Scanned"]
 
 
 class Scanned:
-    """Anchors of all windows of a row of texts, and names of windows."""
+    """Anchors of all windows of a row of texts, worked out where they are asked for, and names of windows."""
 
-    def __init__(self, bounds: np.ndarray, size: int, anchor: np.ndarray, names: np.ndarray, window_names: Callable[[np.ndarray], np.ndarray]):
+    def __init__(self, bounds: np.ndarray, size: int, anchors: Callable[[], tuple[np.ndarray, np.ndarray]], window_names: Callable[[np.ndarray], np.ndarray]):
         self.bounds, self.size = bounds, size
-        self.anchor = anchor  # by window: the place of its anchor
-        self.names = names  # by window: the anchor's name
+        self.anchors = anchors  # by window: the place of its anchor, and the anchor's name
         self.window_names = window_names
 
     def gaps(self) -> dict[str, np.ndarray]:
@@ -50,7 +49,7 @@ class Scanned:
         window = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + self.bounds[text]
         if not len(window):
             return {k: np.zeros(0, np.int64) for k in ("text", "name", "cls", "lo", "n")}
-        anchor, names = self.anchor[window], self.names[window]
+        anchor, names = (x[window] for x in self.anchors())
         begins = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]) | (names[1:] != names[:-1])]))
         ends = np.concatenate([begins[1:], [len(window)]]) - 1
         low, high = window[begins], window[ends]

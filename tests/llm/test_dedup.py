@@ -94,10 +94,10 @@ def test_equal_windows_have_equal_anchors():
     source = random.Random(5)
     words = np.array([source.randrange(6) for _ in range(3000)], np.uint64)
     words[1000:1100] = words[2000:2100]
-    scanned = recompression.Recompressor().scan(words, np.array([0, 700, 3000]))
+    anchor, names = recompression.Recompressor().scan(words, np.array([0, 700, 3000])).anchors()
     for k in range(51):
-        assert scanned.anchor[1000 + k] - 1000 == scanned.anchor[2000 + k] - 2000
-        assert scanned.names[1000 + k] == scanned.names[2000 + k]
+        assert anchor[1000 + k] - 1000 == anchor[2000 + k] - 2000
+        assert names[1000 + k] == names[2000 + k]
 
 
 def test_range_minimum():
