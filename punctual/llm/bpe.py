@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Hashable, Sequence
 
 PAIRS_KEPT = 400_000  # in each of two generations
+NEVER = float("inf")  # the rank of a pair that doesn't merge
 
 
 class MergeRule:
@@ -22,16 +23,19 @@ class MergeRule:
 
     def merged(self, symbols: Sequence) -> list:
         """The encoding of a short text, by its definition: the best pair merges, the leftmost of equals."""
-        parts, rank = list(symbols), self.rank
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = rank.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
+        parts, rank = list(symbols), self.rank.get
+        ranks = [rank(a + b, NEVER) for a, b in zip(parts[:-1], parts[1:], strict=True)]
+        while ranks:
+            best = min(ranks)
+            if best == NEVER:
                 break
+            at = ranks.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] + parts[at], NEVER)
+            if at < len(ranks):
+                ranks[at] = rank(parts[at] + parts[at + 1], NEVER)
         return parts
 
     def suits(self, left, right) -> bool:

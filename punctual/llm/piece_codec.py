@@ -27,7 +27,7 @@ from punctual.llm.common import PieceCache, slices, sums_by_row, table, text_byt
 
 MARK = "▁"
 INDEXED_CHARACTERS = 200_000
-PARTS_KEPT = 300_000
+PARTS_KEPT = 500_000
 PAIRS_KEPT = 400_000
 OWN = -1  # a character that is a token of its own and in no piece
 _WORKER: dict = {}
