@@ -41,6 +41,11 @@ def fingerprint(text: bytes, words: int = 3) -> int:
         hashes = [xxh64_intdigest(b" ".join(split), SEED)]
     else:
         hashes = [xxh64_intdigest(b" ".join(s), SEED) for s in zip(*(split[i:] for i in range(words)))]  # noqa: B905
+    return of_hashes(hashes)
+
+
+def of_hashes(hashes: list[int] | np.ndarray) -> int:
+    """The SimHash of what has these hashes of 64 bits; none give 0."""
     votes = np.zeros(BITS, np.int64)
     for first in range(0, len(hashes), 50_000):
         some = np.array(hashes[first : first + 50_000], ">u8").view(np.uint8).reshape(-1, 8)

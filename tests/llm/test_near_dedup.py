@@ -57,3 +57,17 @@ def test_order_of_shingles_changes_no_result(documents, monkeypatch):
     for common in (2, 1 << 30):
         monkeypatch.setattr(shingle_dedup, "COMMON", common)
         assert sorted((False, r.doc_id) for r in shingle_dedup.keep_first(documents(rows)).collect()) == expected
+
+
+def test_simhash_brings_pairs_that_are_then_verified(spark, documents, monkeypatch):
+    """The stage's named method: its pairs alone link near copies, and none that is less similar than asked."""
+    base = [f"w{k}" for k in range(400)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:-1], "x"])), (3, " ".join(base[:200] + [f"v{k}" for k in range(200)]))]
+    asked = []
+    pairs = shingle_dedup.near_pairs
+    monkeypatch.setattr(shingle_dedup, "near_pairs", lambda nodes, *a: asked.append(nodes.count()) or pairs(nodes, *a))
+    # without shared shingles only SimHash is left
+    monkeypatch.setattr(shingle_dedup, "_prefixes", lambda *a: shingle_dedup._each(lambda x: [x.view("int64")[:0], x.astype("int32")[:0], x.view("int64")[:0], x.astype("int32")[:0]], [], ["node", "n", "token", "pos"]))
+    kept = corpus_pipeline.drop_near_duplicates(spark, documents(rows), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+    assert asked
