@@ -13,9 +13,10 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from punctual.operators.skew import broadcast_within
 from punctual.sources.archives import SNAPSHOT_MEMBER, file_system
 from punctual.sources.timetable import Timetable
 
@@ -50,17 +51,29 @@ def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Order lines that one task takes, and rows of a table that is sent to every executor (some 60 bytes each).
+TASK_ROWS = 1_000_000
+SENT_ROWS = 1_000_000
+
+
 def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dealt by trip, in tasks of a bounded size: what follows per call or per trip needs no further shuffle of the calls.
+
+    Hardly two lines share a call, so nothing is gained by an aggregate before the shuffle, which takes memory.
+    """
+    lines = read_table(spark, sf_dir, "lineitem")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-lines.count() // TASK_ROWS))
     return (
-        read_table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("trip_id"), F.col("l_linenumber").alias("stop_sequence"))
+        lines.select(F.col("l_orderkey").alias("trip_id"), F.col("l_linenumber").alias("stop_sequence"), "l_suppkey", "l_partkey")
+        .repartition(tasks, "trip_id")
+        .groupBy("trip_id", "stop_sequence")
         .agg(F.min("l_suppkey").alias("stop_id"), F.min("l_partkey").alias("pk"))
     )
 
 
-def _timed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _timed_calls(calls: DataFrame, trips: DataFrame) -> DataFrame:
     due = (F.col("origin_sec") + 180 * F.col("stop_sequence")).cast("int")
-    return _calls(spark, sf_dir).join(_trips(spark, sf_dir), "trip_id").withColumn("sched_sec_raw", due)
+    return calls.join(trips, "trip_id").withColumn("sched_sec_raw", due)
 
 
 def _stops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +124,7 @@ def timetable(spark: SparkSession, sf_dir: str) -> Timetable:
         stops=_stops(spark, sf_dir),
         routes=_routes(spark, sf_dir),
         trips=_trips(spark, sf_dir).drop("origin_sec"),
-        stop_times=_timed_calls(spark, sf_dir).select(
+        stop_times=_timed_calls(_calls(spark, sf_dir), _trips(spark, sf_dir)).select(
             "trip_id", "stop_id", listed_sequence().alias("stop_sequence"),
             _clock_text(F.col("sched_sec_raw")).alias("arrival_time"),
         ),
@@ -127,15 +140,16 @@ def timetable(spark: SparkSession, sf_dir: str) -> Timetable:
 
 def local_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pings with their times as local seconds, which may lie outside the day."""
-    first = _calls(spark, sf_dir).groupBy("trip_id").agg(F.min("stop_sequence").alias("first_seq"))
+    # routes are hung on the trips, of which there are fewer than calls
+    trips = _trips(spark, sf_dir).drop("service_id", "direction_id").join(_routes(spark, sf_dir), "route_id")
+    stops = _stops(spark, sf_dir).select("stop_id", "stop_lat", "stop_lon")
+    first = F.min("stop_sequence").over(Window.partitionBy("trip_id"))
     trip, pk = F.col("trip_id"), F.col("pk")
     shift = F.when(trip % 11 == 0, F.lit(200)).otherwise((trip % 5 - 2) * 40)
     noise = F.when(trip % 4 == 0, (pk * 97) % 3601 - 1800).otherwise((pk * 31) % 61 - 30)
     return (
-        _timed_calls(spark, sf_dir)
-        .join(_routes(spark, sf_dir), "route_id")
-        .join(_stops(spark, sf_dir), "stop_id")
-        .join(first, "trip_id")
+        _timed_calls(_calls(spark, sf_dir).withColumn("first_seq", first), trips)
+        .join(broadcast_within(stops, SENT_ROWS), "stop_id")
         .select(
             F.concat(F.lit("OP"), F.col("agency_id").cast("string")).alias("operator_ref"),
             F.col("route_short_name").alias("line_ref"),

@@ -17,7 +17,7 @@ def gtfs_time_seconds(text: Column) -> Column:
     return hours * 3600 + minutes * 60 + seconds
 
 
-def _local_clock(utc_text: Column, zone: str) -> Column:
+def local_clock(utc_text: Column, zone: str) -> Column:
     """Seconds since 1970 of the *local wall clock* at a UTC instant given as ISO text.
 
     Working on this number instead of `hour()`/`to_date()` makes the results below independent of the
@@ -26,12 +26,22 @@ def _local_clock(utc_text: Column, zone: str) -> Column:
     return F.unix_seconds(F.from_utc_timestamp(F.try_to_timestamp(utc_text), zone))
 
 
+def local_seconds(clock: Column) -> Column:
+    """The second of the day of a `local_clock`."""
+    return F.pmod(clock, F.lit(DAY_SEC)).cast("int")
+
+
+def local_day(clock: Column) -> Column:
+    """The day of a `local_clock`, counted from 1970."""
+    return F.floor(clock / DAY_SEC).cast("int")
+
+
 def local_seconds_of_day(utc_text: Column, zone: str = LOCAL_ZONE) -> Column:
-    return F.pmod(_local_clock(utc_text, zone), F.lit(DAY_SEC)).cast("int")
+    return local_seconds(local_clock(utc_text, zone))
 
 
 def local_date(utc_text: Column, zone: str = LOCAL_ZONE) -> Column:
-    return F.date_from_unix_date(F.floor(_local_clock(utc_text, zone) / DAY_SEC).cast("int"))
+    return F.date_from_unix_date(local_day(local_clock(utc_text, zone)))
 
 
 def service_day(text: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from punctual import schemas
 from punctual.functions.geo import cells_within, grid_cell, haversine_m, reach_lat, reach_lon
 from punctual.functions.measures import delay_minutes
-from punctual.functions.times import is_on_service_day, local_seconds_of_day
+from punctual.functions.times import local_clock, local_day, local_seconds, service_day
 from punctual.operators.skew import possible_members, repeat_for_salts, salt_rows
 from punctual.settings import (
     DELAY_MAX_MINUTES,
@@ -32,17 +33,20 @@ def observed_pings(
     Copies of a position need no removal here: the match below keeps one ping per stop, and a copy never
     changes which. Rows without operator, line or origin can match nothing and go first.
     """
+    clock = local_clock(F.col("recorded_at"), zone)
+    # one day is worked out for each of the dates, and none for each row
+    day = reduce(lambda rest, d: F.when(F.col("source_date") == d, service_day(F.lit(d))).otherwise(rest), service_dates, F.lit(None).cast("date"))
     return (
         positions.where(F.col("source_date").isin(*service_dates))
         .where("operator_ref is not null and line_ref is not null and origin_aimed_departure is not null")
-        .where(is_on_service_day(F.col("recorded_at"), F.col("source_date"), zone))
+        .where(local_day(clock) == F.unix_date(day))
         .select(
             F.col("source_date").alias("service_date"),
             F.col("operator_ref").alias("operator"),
             F.col("line_ref").alias("line"),
             "origin_aimed_departure",
             "vehicle_ref",
-            local_seconds_of_day(F.col("recorded_at"), zone).alias("ping_sec"),
+            local_seconds(clock).alias("ping_sec"),
             "latitude",
             "longitude",
         )
@@ -63,7 +67,7 @@ def observed_journeys(pings: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     return (
         pings.groupBy(*OBSERVED_KEY)
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("journey_origin_sec", local_seconds_of_day(F.col("origin_aimed_departure"), zone))
+        .withColumn("journey_origin_sec", local_seconds(local_clock(F.col("origin_aimed_departure"), zone)))
     )
 
 
