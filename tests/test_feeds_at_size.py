@@ -3,7 +3,7 @@
 import contextlib
 import io
 
-from punctual.checks import feeds
+from punctual.checks import feeds, landing
 
 
 def plan_of(frame) -> str:
@@ -28,3 +28,12 @@ def test_tasks_follow_the_rows(spark, small, monkeypatch):
     monkeypatch.setattr(feeds, "TASK_ROWS", 500)
     rows = feeds.read_table(spark, small, "lineitem").count()
     assert feeds._calls(spark, small).rdd.getNumPartitions() == -(-rows // 500) > spark.sparkContext.defaultParallelism
+
+
+def test_archives_follow_the_rows(spark, small, monkeypatch, tmp_path):
+    monkeypatch.setattr(landing, "ARCHIVE_ROWS", 200)
+    folder = tmp_path / "copy"
+    folder.symlink_to(small)  # another source, so that nothing stored before is taken
+    rows = landing.positions(spark, str(folder)).where(f"source_date = '{landing.DAY}'").count()
+    found = landing.archives(spark, str(folder))[landing.DAY]
+    assert landing.ARCHIVES_A_DAY < len(found) <= rows // 200
