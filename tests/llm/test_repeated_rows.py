@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -39,3 +40,14 @@ def test_repeated_rows_bring_one_body_for_each_class(documents, monkeypatch, tmp
         assert got == words_without_repeats(rows)
     total = sum(int(p.read_text()) for p in tmp_path.iterdir())
     assert 0 < total < 20 * copies
+
+
+def test_texts_are_dealt_out_once(documents):
+    source = random.Random(4)
+    text = lambda n: " ".join(f"w{source.randrange(500)}" for _ in range(n))
+    passage = text(120).split()
+    rows = [(i, f"{text(20)} {' '.join(passage[i:])} {text(20)}") for i in range(40)]
+    found = suffix_dedup.repeat_digests(documents(rows))
+    assert sorted((str(r.id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found.collect()) == bytes_without_repeats(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"ReusedExchange \[[^\]]*\btext#", plan)
