@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -13,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 2 << 20
+_KEPT: dict = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,6 +106,29 @@ def joined_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def kept_by_worker(name: str, make: Callable):
+    """What a worker keeps from task to task, made at its first one."""
+    if name not in _KEPT:
+        let_go()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def let_go() -> None:
+    """What a worker has kept goes: it serves one operator after another, beside the memory of its executor."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        give_back()
+
+
+def give_back() -> None:
+    """Memory that a task has freed goes back to the system, where the C library can do that."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError, TypeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix(*parts: np.ndarray) -> np.ndarray:
     """A 64-bit name of a tuple of numbers, the same in every task."""
     with np.errstate(over="ignore"):

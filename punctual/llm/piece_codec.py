@@ -23,14 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.llm.bpe import MergeRule
-from punctual.llm.common import PieceCache, slices, sums_by_row, table, text_bytes
+from punctual.llm.common import PieceCache, give_back, kept_by_worker, slices, sums_by_row, table, text_bytes
 
 MARK = "▁"
 INDEXED_CHARACTERS = 200_000
 PARTS_KEPT = 500_000
 PAIRS_KEPT = 400_000
 OWN = -1  # a character that is a token of its own and in no piece
-_WORKER: dict = {}
 
 
 class PieceCodec:
@@ -197,9 +196,7 @@ class PieceCodec:
 
 
 def _codec(path: str) -> PieceCodec:
-    if path not in _WORKER:
-        _WORKER[path] = PieceCodec(path)
-    return _WORKER[path]
+    return kept_by_worker(f"pieces of {path}", lambda: PieceCodec(path))
 
 
 def _encode(path: str):
@@ -210,6 +207,7 @@ def _encode(path: str):
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(ids, pa.int32()))
             kept = [i for i, name in enumerate(batch.schema.names) if name != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), pa.array(counts, pa.int32()), lists], [*(batch.schema.names[i] for i in kept), "n_tokens", "ids"])
+        give_back()
 
     return run
 
@@ -258,6 +256,7 @@ def _digest(path: str):
             crc = [zlib.crc32(np.ascontiguousarray(x, "<u4")) for x in each]
             same = [codec.decode(x) == t for x, t in zip(each, texts, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(counts), pa.array(crc, pa.int64()), pa.array(same)], ["id", "n_tokens", "ids_crc32", "round_trip"])
+        give_back()
 
     return run
 

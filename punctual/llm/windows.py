@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctual.llm.common import mix, row_key, slices, stored, text_bytes
+from punctual.llm.common import let_go, mix, row_key, slices, stored, text_bytes
 
 LAST = (1 << 63) - 1  # stands for a null id, after all others
 POSITION_BITS = 30
@@ -87,6 +87,7 @@ def keyed_texts(docs: DataFrame, id_column: str, text_column: str, *more: str) -
 
 def gaps_of(texts: DataFrame, make_scan: Callable[[], Callable], limit: int = 1 << 20) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         scan = make_scan()
         for batch in slices(batches, limit=limit):
             found = scan(batch.column("text")).gaps()

@@ -1,7 +1,11 @@
 import random
+import weakref
+
+import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline
-from punctual.llm import shingle_dedup, simhash
+from punctual.llm import piece_codec, shingle_dedup, simhash
 
 
 def shingle_set(text):
@@ -71,3 +75,26 @@ def test_simhash_brings_pairs_that_are_then_verified(spark, documents, monkeypat
     kept = corpus_pipeline.drop_near_duplicates(spark, documents(rows), "")
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
     assert asked
+
+
+def test_candidates_less_similar_than_asked_go_before_their_shingles_are_compared():
+    draw = np.random.default_rng(5)
+    pair = lambda n, same, m: (common := draw.integers(0, 1 << 63, same, np.uint64), [np.unique(np.append(common, draw.integers(0, 1 << 63, k - same, np.uint64))) for k in (n, m)])[1]
+    near = [pair(n, n - n // 20, m) for n in (1, 5, 12, 300, 2300) for m in (n, n + n // 12)]
+    far = [pair(2300, 1930, 2300), pair(2000, 1750, 2200), pair(300, 245, 300)]
+    assert all(9 * len(np.intersect1d(x, y)) >= 4 * (len(x) + len(y)) for x, y in near)
+    assert all(9 * len(np.intersect1d(x, y)) < 4 * (len(x) + len(y)) for x, y in far)
+    sides = [[shingle_dedup._named(found) for found in side] for side in zip(*near, *far, strict=True)]
+    columns = {f"{a}{name}": [v[at][0] for v in side] for a, side in zip("xy", sides, strict=True) for name, at in (("", 0), ("n", 1), ("parts", 2))}
+    batch = pa.RecordBatch.from_pydict({k: columns[k] for k in ("x", "y", "xn", "yn", "xparts", "yparts")})
+    assert [b.column("x").to_pylist() for b in shingle_dedup._may_be_similar([batch])] == [columns["x"][: len(near)]]
+
+
+def test_a_worker_lets_go_what_the_operator_before_kept():
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([b"one two three four five six"] * 3)})
+    with_ids = pa.RecordBatch.from_pydict({"id": [1, 2, 3], "text": batch.column("text")})
+    next(piece_codec._encode(piece_codec.model_path())([with_ids]))
+    kept = weakref.ref(piece_codec._codec(piece_codec.model_path()))
+    assert kept() is not None
+    list(shingle_dedup._each(shingle_dedup._named, [], ["node", "n", "parts", "fp"])([batch]))
+    assert kept() is None
