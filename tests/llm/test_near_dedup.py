@@ -90,6 +90,43 @@ def test_candidates_less_similar_than_asked_go_before_their_shingles_are_compare
     assert [b.column("x").to_pylist() for b in shingle_dedup._may_be_similar([batch])] == [columns["x"][: len(near)]]
 
 
+def crowd(size, edits, variants=0, seed=3):
+    """Copies of one text, which itself is not there, with words replaced; some have a variant passage, too."""
+    source = random.Random(seed)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for i in range(size):
+        text = list(base)
+        if variants and i % 4 == 0:
+            text[40:50] = [f"v{i % variants}x{k}" for k in range(10)]
+        for at in source.sample(range(len(text)), source.choice(edits)):
+            text[at] = f"e{source.randrange(10**9)}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+def test_near_copies_below_the_similarity_asked_do_not_bring_all_their_pairs(documents, monkeypatch):
+    asked = []
+    links = shingle_dedup._links
+    monkeypatch.setattr(shingle_dedup, "_links", lambda pairs, *a: asked.append(pairs.count()) or links(pairs, *a))
+    rows = crowd(300, [3])
+    assert sorted((False, r.doc_id) for r in shingle_dedup.keep_first(documents(rows)).collect()) == first_of_groups(rows)
+    # of 44,850 pairs those that share a rare difference
+    assert sum(asked) < 44_850 / 5
+
+
+def test_crowds_against_brute_force(documents, monkeypatch):
+    rows = crowd(160, [0, 1, 2, 3, 5, 9], variants=3) + [(200 + i, t) for i, t in crowd(40, [1, 2, 3], seed=4)]
+    other = [(1000 + i, "before it " + " ".join(f"u{k}" for k in range(60)) + " " + t) for i, t in crowd(100, [2, 3, 4], seed=5)]
+    searched = []
+    by_difference = shingle_dedup._by_difference
+    monkeypatch.setattr(shingle_dedup, "_by_difference", lambda members, *a: searched.append(members.count()) or by_difference(members, *a))
+    for least in (2, 64):
+        monkeypatch.setattr(shingle_dedup, "CROWD", least)
+        assert sorted((False, r.doc_id) for r in shingle_dedup.keep_first(documents(rows + other)).collect()) == first_of_groups(rows + other)
+    assert min(searched) > 64
+
+
 def test_a_worker_lets_go_what_the_operator_before_kept():
     batch = pa.RecordBatch.from_pydict({"text": pa.array([b"one two three four five six"] * 3)})
     with_ids = pa.RecordBatch.from_pydict({"id": [1, 2, 3], "text": batch.column("text")})
