@@ -129,6 +129,18 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+@contextlib.contextmanager
+def uncollected():
+    """No search for cycles meanwhile: long lists of pieces have none, and are looked through again and again."""
+    before = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if before:
+            gc.enable()
+
+
 def mix(*parts: np.ndarray) -> np.ndarray:
     """A 64-bit name of a tuple of numbers, the same in every task."""
     with np.errstate(over="ignore"):
@@ -141,6 +153,18 @@ def mix(*parts: np.ndarray) -> np.ndarray:
     return out
 
 
+class _Numbers(dict):
+    """Pieces by number: one that is asked for the first time takes the next number and is listed."""
+
+    def __init__(self):
+        self.new: list = []
+
+    def __missing__(self, piece) -> int:
+        self.new.append(piece)
+        self[piece] = number = len(self)
+        return number
+
+
 class PieceCache:
     """Values of pieces of text that recur: each piece is worked out once per worker.
 
@@ -154,7 +178,7 @@ class PieceCache:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict = {}
+        self.index = _Numbers()
         self.starts = np.zeros(1 << 16, np.int64)
         self.lengths = np.zeros(1 << 16, np.int64)
         self.flat = np.zeros(1 << 18, self.dtype)
@@ -169,37 +193,32 @@ class PieceCache:
     def places(self, pieces: list) -> np.ndarray:
         if len(self.index) > self.limit:
             self._next_generation()
-        get = self.index.get
-        places = np.fromiter(map(get, pieces, repeat(-1)), np.int64, len(pieces))
-        missing = np.flatnonzero(places < 0)
-        if missing.size:
-            unmet = [pieces[i] for i in missing.tolist()]
-            new = list(dict.fromkeys(unmet))
+        places = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        if new := self.index.new:
+            self.index.new = []
+            numbers = np.arange(len(self.index) - len(new), len(self.index))
             if self.before is not None:
                 known, starts, lengths, flat = self.before
-                old = [p for p in new if p in known]
-                at = [known[p] for p in old]
-                self._add(old, [flat[starts[i] : starts[i] + lengths[i]] for i in at])
-                new = [p for p in new if p not in known]
-            self._add(new, self.compute(new) if new else [])
-            places[missing] = np.fromiter(map(self.index.__getitem__, unmet), np.int64, len(unmet))
+                at = np.fromiter(map(known.get, new, repeat(-1)), np.int64, len(new))
+                old = at >= 0
+                self._add(numbers[old], [flat[starts[i] : starts[i] + lengths[i]] for i in at[old].tolist()])
+                numbers, new = numbers[~old], [p for p, i in zip(new, at.tolist(), strict=True) if i < 0]
+            self._add(numbers, self.compute(new) if new else [])
         return places
 
-    def _add(self, new: list, values: Sequence) -> None:
-        first = len(self.index)
-        self.index.update(zip(new, range(first, first + len(new)), strict=True))
+    def _add(self, numbers: np.ndarray, values: Sequence) -> None:
         lengths = np.fromiter(map(len, values), np.int64, len(values))
         if len(values) and isinstance(values[0], np.ndarray):
             flat = np.concatenate(values).astype(self.dtype)
         else:
             flat = np.fromiter(chain.from_iterable(values), self.dtype)
-        while first + len(new) > self.starts.size:
+        while len(self.index) > self.starts.size:
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
         while self.used + flat.size > self.flat.size:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.starts[first : first + len(new)] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[first : first + len(new)] = lengths
+        self.starts[numbers] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[numbers] = lengths
         self.flat[self.used : self.used + flat.size] = flat
         self.used += flat.size
 

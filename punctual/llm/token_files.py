@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from punctual.llm.common import PieceCache, new_path, slices, sums_by_row, table, text_bytes
+from punctual.llm.common import PieceCache, new_path, slices, sums_by_row, table, text_bytes, uncollected
 
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 256 << 10
@@ -97,8 +97,9 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
-        split = [self._pieces(t) for t in texts]
-        places = self.cache.places(list(chain.from_iterable(split)))
+        with uncollected():
+            split = [self._pieces(t) for t in texts]
+            places = self.cache.places(list(chain.from_iterable(split)))
         ids, lengths = self.cache.expand(places)
         return ids, sums_by_row(lengths, np.fromiter(map(len, split), np.int64, len(split)))
 

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from punctual.llm import piece_codec, token_counts, token_files
-from punctual.llm.common import new_path
+from punctual.llm.common import PieceCache, new_path
 
 ALPHABET = "aàsrvlemtdthe' \n\t.!12½日本語▁<|0xéÄßİ#$*"
 
@@ -120,3 +120,25 @@ def test_every_occurrence_of_a_piece_is_an_edge(tokenizers_here):
     starts, ends, pieces = codec.edges(text)
     found = {(a, b, codec.pieces[p]) for a, b, p in zip(starts.tolist(), ends.tolist(), pieces.tolist(), strict=True)}
     assert found == {(i, i + len(p), p) for p in codec.pieces for i in range(len(text)) if text.startswith(p, i)}
+
+
+def test_a_piece_is_looked_up_once():
+    """Each occurrence asks for the hash of its piece once, however it is met: anew, again, or in the generation before."""
+
+    class Piece(str):
+        asked = 0
+
+        def __hash__(self):
+            Piece.asked += 1
+            return super().__hash__()
+
+    computed = []
+    cache = PieceCache(lambda pieces: computed.append(list(pieces)) or [[len(p)] * len(p) for p in pieces], limit=3)
+    for texts in (["a", "bb", "a", "bb", "ccc", "dddd"], ["bb", "eeeee", "bb", "a", ""], ["x"] * 50):
+        places = cache.places([Piece(t) for t in texts])
+        ids, lengths = cache.expand(places)
+        assert lengths.tolist() == [len(t) for t in texts]
+        assert ids.tolist() == [len(t) for t in texts for _ in t]
+    assert computed == [["a", "bb", "ccc", "dddd"], ["eeeee", ""], ["x"]]
+    # 61 occurrences; a new piece is looked up, set and, after the first generation, looked for in the one before
+    assert Piece.asked <= 61 + 2 * 9
