@@ -127,6 +127,22 @@ def test_crowds_against_brute_force(documents, monkeypatch):
     assert min(searched) > 64
 
 
+def test_texts_that_only_share_a_passage_are_no_crowd(documents, monkeypatch):
+    """Their differences from a centre would be all their shingles, sent and put in order again."""
+    source = random.Random(8)
+    passage = [f"p{k}" for k in range(40)]
+    words = lambda: [f"u{source.randrange(10**9)}" for _ in range(300)]
+    rows = [(i, " ".join(words() + passage)) for i in range(150)]
+    rows += [(200 + i, f"{t} end") for i, t in rows[:20]] + [(300 + i, t) for i, t in crowd(100, [2, 3, 4], seed=6)]
+    searched = []
+    by_difference = shingle_dedup._by_difference
+    monkeypatch.setattr(shingle_dedup, "_by_difference", lambda members, *a: searched.append(members.count()) or by_difference(members, *a))
+    # a passage of a corpus so large that the sample for the order hardly meets it
+    monkeypatch.setattr(shingle_dedup, "COMMON", 1 << 30)
+    assert sorted((False, r.doc_id) for r in shingle_dedup.keep_first(documents(rows)).collect()) == first_of_groups(rows)
+    assert [64 <= n <= 100 for n in searched] == [True]
+
+
 def test_a_worker_lets_go_what_the_operator_before_kept():
     batch = pa.RecordBatch.from_pydict({"text": pa.array([b"one two three four five six"] * 3)})
     with_ids = pa.RecordBatch.from_pydict({"id": [1, 2, 3], "text": batch.column("text")})
