@@ -9,6 +9,7 @@ midnight, origins outside the tolerance, pings too far from a stop and journeys
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 
@@ -214,69 +215,72 @@ def repeated_snapshots(positions: DataFrame) -> DataFrame:
 ACTIVITIES_PER_DOCUMENT = 40
 
 
+# A position, then an activity without a place; see `_filled`.
+_JOURNEY = (
+    "<VehicleActivity><RecordedAtTime>{recorded_at}</RecordedAtTime><MonitoredVehicleJourney><LineRef>{line_ref}</LineRef>"
+    "<OperatorRef>{operator_ref}</OperatorRef><OriginAimedDepartureTime>{origin_aimed_departure}</OriginAimedDepartureTime>"
+    "<VehicleRef>{vehicle_ref}</VehicleRef>%s</MonitoredVehicleJourney></VehicleActivity>"
+)
+_PLACE = "<VehicleLocation><Longitude>{longitude}</Longitude><Latitude>{latitude}</Latitude></VehicleLocation>"
+_ACTIVITIES = _JOURNEY % _PLACE + _JOURNEY % ""
+_OPENING = '<?xml version="1.0" encoding="UTF-8"?>\n<Siri xmlns="http://www.siri.org.uk/siri"><ServiceDelivery><VehicleMonitoringDelivery>'
+_CLOSING = "</VehicleMonitoringDelivery></ServiceDelivery></Siri>"
+
+
+def _prefixed(text: str) -> str:
+    return re.sub(r"<(/?)(\w)", r"<\1s:\2", text).replace("xmlns=", "xmlns:s=")
+
+
+def _filled(template: str, row: Column) -> Column:
+    """The template with the fields of a row in place of their names."""
+    texts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*(row[text] if i % 2 else F.lit(text) for i, text in enumerate(texts)))
+
+
+def _document(opening: str, activities: str, closing: str) -> Column:
+    """One document of the rows that are collected in `rows`."""
+    return F.concat(F.lit(opening), F.array_join(F.transform("rows", lambda row: _filled(activities, row)), ""), F.lit(closing))
+
+
 def as_documents(positions: DataFrame) -> DataFrame:
     """The positions as XML documents of 40 each, every position followed by an activity without a place;
-    then all documents again, damaged in one way or another."""
-
-    def tag(name: str, *content) -> Column:
-        return F.concat(F.lit(f"<{name}>"), *content, F.lit(f"</{name}>"))
+    then all documents again, damaged in one way or another.
 
-    place = tag(
-        "VehicleLocation",
-        tag("Longitude", F.col("longitude").cast("string")),
-        tag("Latitude", F.col("latitude").cast("string")),
-    )
-    journey = [
-        tag("LineRef", F.col("line_ref")),
-        tag("OperatorRef", F.col("operator_ref")),
-        tag("OriginAimedDepartureTime", F.col("origin_aimed_departure")),
-        tag("VehicleRef", F.col("vehicle_ref")),
-    ]
-    when = tag("RecordedAtTime", F.col("recorded_at"))
-    activities = F.concat(
-        tag("VehicleActivity", when, tag("MonitoredVehicleJourney", *journey, place)),
-        tag("VehicleActivity", when, tag("MonitoredVehicleJourney", *journey)),
-    )
-    opening = F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<Siri xmlns="http://www.siri.org.uk/siri">')
+    Rows are brought together before they become text, which is several times as long.
+    """
+    places = {axis: F.col(axis).cast("string") for axis in ("longitude", "latitude")}
+    row = F.struct("recorded_at", "line_ref", "operator_ref", "origin_aimed_departure", "vehicle_ref", *(c.alias(axis) for axis, c in places.items()))
     documents = (
-        positions.select("source_date", activities.alias("activities"), F.monotonically_increasing_id().alias("row"))
-        .groupBy("source_date", F.floor(F.col("row") / ACTIVITIES_PER_DOCUMENT).alias("number"))
-        .agg(F.array_join(F.collect_list("activities"), "").alias("activities"))
-        .select(
-            "source_date",
-            "number",
-            F.concat(
-                opening, F.lit("<ServiceDelivery><VehicleMonitoringDelivery>"), F.col("activities"),
-                F.lit("</VehicleMonitoringDelivery></ServiceDelivery></Siri>"),
-            ).alias("xml"),
-        )
+        positions.select("source_date", row.alias("row"), F.monotonically_increasing_id().alias("id"))
+        .groupBy("source_date", F.floor(F.col("id") / ACTIVITIES_PER_DOCUMENT).alias("number"))
+        .agg(F.collect_list("row").alias("rows"))
     )
-    prefixed = F.regexp_replace(F.regexp_replace("xml", r"<(/?)(\w)", "<$1s:$2"), "xmlns=", "xmlns:s=")
     kind = F.col("number") % 5
-    sound = documents.withColumn("xml", F.when(F.col("number") % 3 == 0, prefixed).otherwise(F.col("xml")))
     # tails and tags that well-formed documents may have
     variant = F.col("number") % 7
-    filler = F.repeat(F.lit("long tail "), 1000)
-    sound = sound.withColumn(
-        "xml",
-        F.when(variant == 1, F.concat("xml", F.lit("<!--"), filler, F.lit("-->")))
-        .when(variant == 2, F.concat("xml", F.repeat(F.lit("\n"), 10_000)))
-        .when(variant == 3, F.concat("xml", F.lit("<?end "), filler, F.lit("?>")))
-        .when(variant == 4, F.replace(F.col("xml"), F.lit("VehicleActivity>"), F.lit("VehicleActivity >")))
-        .when(variant == 5, F.regexp_replace("xml", r"(<(?:s:)?VehicleActivity)>", "$1 note='a > b'>"))
-        .otherwise(F.col("xml")),
-    )
-    damaged = documents.withColumn(
-        "xml",
-        F.when(kind == 0, F.lit(""))
-        .when(kind == 1, F.expr("substring(xml, 1, length(xml) - 12)"))
-        .when(kind == 2, F.replace(F.col("xml"), F.lit("</ServiceDelivery>"), F.lit("</Service>")))
-        .when(kind == 3, F.replace(
-            F.col("xml"), F.lit('xmlns="http://www.siri.org.uk/siri"'), F.lit('xmlns="urn:other" was="http://www.siri.org.uk/siri"')
-        ))
-        .otherwise(F.lit("this is not XML")),
+    filler = "long tail " * 1000
+    tails = {1: f"<!--{filler}-->", 2: "\n" * 10_000, 3: f"<?end {filler}?>"}
+
+    def sound(write) -> Column:
+        opening, closing = write(_OPENING), write(_CLOSING)
+        blank = write(_ACTIVITIES).replace("VehicleActivity>", "VehicleActivity >")
+        noted = re.sub(r"(<(?:s:)?VehicleActivity)>", r"\1 note='a > b'>", write(_ACTIVITIES))
+        tail = F.when(variant == 1, tails[1]).when(variant == 2, tails[2]).when(variant == 3, tails[3]).otherwise("")
+        return (
+            F.when(variant == 4, _document(opening, blank, closing))
+            .when(variant == 5, _document(opening, noted, closing))
+            .otherwise(F.concat(_document(opening, write(_ACTIVITIES), closing), tail))
+        )
+
+    well_formed = F.when(F.col("number") % 3 == 0, sound(_prefixed)).otherwise(sound(str))
+    damaged = (
+        F.when(kind == 0, "")
+        .when(kind == 1, _document(_OPENING, _ACTIVITIES, _CLOSING[:-12]))
+        .when(kind == 2, _document(_OPENING, _ACTIVITIES, _CLOSING.replace("</ServiceDelivery>", "</Service>")))
+        .when(kind == 3, _document(_OPENING.replace('xmlns="http://www.siri.org.uk/siri"', 'xmlns="urn:other" was="http://www.siri.org.uk/siri"'), _ACTIVITIES, _CLOSING))
+        .otherwise("this is not XML")
     )
-    return sound.union(damaged).select("source_date", "xml")
+    return documents.select("source_date", F.explode(F.array(well_formed, damaged)).alias("xml"))
 
 
 def as_archives(documents: DataFrame, directory: str, parts: int = 8) -> DataFrame:

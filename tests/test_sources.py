@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows_of
 from punctual import schemas
+from punctual.checks import feeds
 from punctual.models.regression import metrics_long
 from punctual.sources import archives as archive_source
 from punctual.sources import positions, sinks, timetable
@@ -135,6 +136,60 @@ def test_content_that_only_looks_like_markup(spark):
     assert lines_of(spark, *map(document, cases)) == [(0, "<b>"), (1, "A&B"), (2, None), (3, "42"), (4, "real")]
 
 
+def made_of(*activities, head="", opening=f'<Siri xmlns="{NS}">', closing="</Siri>"):
+    return head + opening + "".join(activities) + closing
+
+
+LEFT_TO_THE_PARSER = {  # by element, because a pattern may get it wrong
+    "entity": made_of(activity(line="A&amp;B")),
+    "comment": made_of("<!-- " + activity() + " -->", activity(line="b")),
+    "return": made_of(activity(line="a\r\nb")),
+    "declaration inside": made_of(activity(), f'<More xmlns="{NS}"/>'),
+    "bytes in another encoding": made_of(activity(), head='<?xml version="1.0" encoding="iso-8859-1"?>').encode(),
+    "inside a text": made_of(activity(line="1" + activity(line="2") + "3")),
+    "crossed": made_of("<VehicleActivity><A><B></A></B></VehicleActivity>"),
+    "control character": made_of(activity(line="a\x0cb")),
+    "nul": made_of(activity(), "<\0>", activity()),
+    "end of a section": made_of(activity(line="a]]>b")),
+    "foreign prefix": made_of(activity(line="<x:y/>")),
+}
+BY_PATTERN = {
+    "alike": made_of(activity(line="1"), activity(line=""), activity(line=" Zürich "), "\n"),
+    "bytes": made_of(activity(line="é"), head='<?xml version="1.0" encoding="utf-8"?>').encode(),
+    "tags of all kinds": made_of(*(activity(line=str(i), tag=tag) for i, tag in enumerate(TAGS))),
+    "attribute twice": made_of(activity(tag="VehicleActivity a='1' a='2'")),
+    "unbound attribute": made_of(activity(tag="VehicleActivity q:a='1'")),
+    "no place": made_of(activity(), "<VehicleActivity><RecordedAtTime>1</RecordedAtTime></VehicleActivity>"),
+    "twice": made_of(activity().replace("<LineRef>", "<LineRef/><LineRef>"), activity(line="1").replace("</LineRef>", "</LineRef><LineRef>2</LineRef>")),
+    "other namespace": made_of(activity(), opening='<Siri xmlns="urn:other">'),
+    "cut short": made_of(activity(), closing=""),
+    "after the root": made_of(activity()) + activity(),
+    "nothing": made_of(),
+    "no name": made_of(activity(), "<>", activity()),
+    "tail": made_of(activity()) + "<!-- </VehicleActivity -->",
+}
+
+
+@pytest.mark.parametrize("name", LEFT_TO_THE_PARSER | BY_PATTERN)
+def test_patterns_find_what_the_parser_finds(name):
+    made = (LEFT_TO_THE_PARSER | BY_PATTERN)[name]
+    rows = lambda columns: sorted(map(str, zip(*columns, strict=True)))
+    assert rows(positions._activities(made)) == rows(positions._parsed(made))
+    if name != "tail":
+        assert (positions._by_shape(made) is None) == (name in LEFT_TO_THE_PARSER)
+
+
+def test_documents_of_a_feed_are_not_taken_apart_by_element(spark, monkeypatch):
+    """Nor is their text shuffled."""
+    row = "'OP1' operator_ref, 'L' line_ref, 'V' vehicle_ref, '1' origin_aimed_departure, '2' recorded_at, 53.4D latitude, -2.3D longitude, '20260701' source_date"
+    made = feeds.as_documents(spark.sql(f"select {row} from range(2000)"))
+    text = made._jdf.queryExecution().executedPlan().toString()
+    assert text.index("Exchange") > text.index("VehicleActivity>") and "VehicleActivity>" not in text[text.index("Exchange") :]
+    monkeypatch.setattr(positions, "_parsed", None)
+    documents = [r.xml for r in made.collect() if r.xml.startswith("<")]
+    assert sum(len(positions._activities(d)[0]) for d in documents) == 2000
+
+
 @pytest.mark.parametrize("encoding", ["utf-8", "utf-8-sig", "utf-16", "iso-8859-1"])
 def test_encodings(spark, tmp_path, encoding):
     declared = "utf-8" if encoding == "utf-8-sig" else encoding
