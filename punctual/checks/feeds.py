@@ -13,6 +13,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -248,13 +249,43 @@ def as_documents(positions: DataFrame) -> DataFrame:
 
     Rows are brought together before they become text, which is several times as long.
     """
+    together = _numbered(positions).groupBy("source_date", "number").agg(F.collect_list("row").alias("rows"))
+    return _written(together).drop("held")
+
+
+def _numbered(positions: DataFrame) -> DataFrame:
+    """(source_date, number of the document, row); the rows of a document come from one task, one after another."""
     places = {axis: F.col(axis).cast("string") for axis in ("longitude", "latitude")}
     row = F.struct("recorded_at", "line_ref", "operator_ref", "origin_aimed_departure", "vehicle_ref", *(c.alias(axis) for axis, c in places.items()))
-    documents = (
-        positions.select("source_date", row.alias("row"), F.monotonically_increasing_id().alias("id"))
-        .groupBy("source_date", F.floor(F.col("id") / ACTIVITIES_PER_DOCUMENT).alias("number"))
-        .agg(F.collect_list("row").alias("rows"))
-    )
+    number = F.floor(F.monotonically_increasing_id() / ACTIVITIES_PER_DOCUMENT)
+    return positions.select("source_date", number.alias("number"), row.alias("row"))
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each document as one row. The last document of a batch waits for what the next one has of it."""
+    left = None
+    for batch in batches:
+        if left is not None:
+            batch = pa.concat_batches([left, batch])
+        if not batch.num_rows:
+            continue
+        same = [np.asarray(c) for c in (batch.column("source_date").dictionary_encode().indices, batch.column("number"))]
+        starts = np.append(0, 1 + np.flatnonzero(np.any([c[1:] != c[:-1] for c in same], axis=0)))
+        left = batch.slice(starts[-1])
+        if len(starts) > 1:
+            yield _together(batch.slice(0, starts[-1]), starts)
+    if left is not None:
+        yield _together(left, np.array([0, left.num_rows]))
+
+
+def _together(batch: pa.RecordBatch, bounds: np.ndarray) -> pa.RecordBatch:
+    first = [batch.column(c).take(pa.array(bounds[:-1])) for c in ("source_date", "number")]
+    rows = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), batch.column("row"))
+    return pa.RecordBatch.from_arrays([*first, rows], ["source_date", "number", "rows"])
+
+
+def _written(documents: DataFrame) -> DataFrame:
+    """(source_date, held: its positions, xml) of the documents and of their damaged copies."""
     kind = F.col("number") % 5
     # tails and tags that well-formed documents may have
     variant = F.col("number") % 7
@@ -280,42 +311,74 @@ def as_documents(positions: DataFrame) -> DataFrame:
         .when(kind == 3, _document(_OPENING.replace('xmlns="http://www.siri.org.uk/siri"', 'xmlns="urn:other" was="http://www.siri.org.uk/siri"'), _ACTIVITIES, _CLOSING))
         .otherwise("this is not XML")
     )
-    return documents.select("source_date", F.explode(F.array(well_formed, damaged)).alias("xml"))
+    return documents.select("source_date", F.size("rows").alias("held"), F.explode(F.array(well_formed, damaged)).alias("xml"))
 
 
-def as_archives(documents: DataFrame, directory: str, parts: int = 8) -> DataFrame:
-    """Packs the documents as a provider would: zips of zips in the shared folder, `parts` for each day.
+def as_archives(positions: DataFrame, directory: str, at_least: int, full: int) -> DataFrame:
+    """Packs the documents of the positions as a provider would: zips of zips in the shared folder.
 
-    Gives (source_date, archive). A task that runs again writes the same archives again.
+    Gives (source_date, archive). Nothing is shuffled: a task packs what it scans, and an archive holds `full` positions or
+    more where the task has so many of a day, less than twice as many in any case. Only positions that fewer than `at_least`
+    tasks scan are dealt out first, before they become text. A task that runs again writes the same archives again.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, folder = file_system(directory)
         filesystem.create_dir(folder)
-        made, stream, outer = [], None, None
+        made, waiting, held, here, stream, outer = [], [], 0, None, None, None
+
+        def begin() -> None:
+            nonlocal stream, outer
+            close()
+            made.append((here[0], f"sirivm-{here[0]}-{here[1]}-{len(made)}.zip"))
+            stream = filesystem.open_output_stream(f"{folder}/{made[-1][1]}")
+            outer = zipfile.ZipFile(stream, "w", zipfile.ZIP_STORED)
+
+        def write() -> None:
+            nonlocal held
+            for entry in waiting:
+                outer.writestr(f"{len(outer.infolist()):06}.zip", entry)
+            waiting.clear()
+            held = 0
 
         def close() -> None:
+            nonlocal outer
             if outer is not None:
                 outer.close()
                 stream.close()
+                outer = None
+
+        def finish() -> None:
+            # too few for an archive of their own go to the one before
+            if waiting:
+                if outer is None:
+                    begin()
+                write()
+            close()
 
         for batch in batches:
-            for row in batch.to_pylist():
-                here = (row["source_date"], f"sirivm-{row['source_date']}-{row['part']}.zip")
-                if not made or made[-1] != here:
-                    close()
-                    made.append(here)
-                    stream = filesystem.open_output_stream(f"{folder}/{here[1]}")
-                    outer = zipfile.ZipFile(stream, "w", zipfile.ZIP_STORED)
+            for date, part, positions, xml in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if here != (date, part):
+                    finish()
+                    here = (date, part)
                 packed = io.BytesIO()
                 with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as inner:
-                    inner.writestr(SNAPSHOT_MEMBER, row["xml"])
-                outer.writestr(f"{len(outer.infolist()):06}.zip", packed.getvalue())
-        close()
+                    inner.writestr(SNAPSHOT_MEMBER, xml)
+                waiting.append(packed.getvalue())
+                held += positions
+                if held >= 2 * full:  # a position is in a document and in its damaged copy
+                    begin()
+                    write()
+        finish()
         dates, paths = [date for date, _ in made], [f"{directory}/{name}" for _, name in made]
         yield pa.RecordBatch.from_arrays([pa.array(dates, pa.string()), pa.array(paths, pa.string())], ["source_date", "archive"])
 
-    digest = F.abs(F.xxhash64("source_date", "xml"))
-    rows = documents.select("source_date", digest.alias("digest"), F.pmod("digest", F.lit(parts)).alias("part"), "xml")
-    by_archive = rows.repartition("source_date", "part").sortWithinPartitions("source_date", "part", "digest")
-    return by_archive.mapInArrow(pack, "source_date string, archive string")
+    if positions.rdd.getNumPartitions() < at_least:
+        order = ("source_date", *(c for c in positions.columns if c != "source_date"))
+        positions = positions.repartition(at_least).sortWithinPartitions(*order)
+    numbered = _numbered(positions)
+    row = numbered.schema["row"].dataType.simpleString()
+    documents = _written(numbered.mapInArrow(_neighbours, f"source_date string, number bigint, rows array<{row}>"))
+    return documents.select("source_date", F.spark_partition_id().alias("part"), "held", F.col("xml").cast("binary")).mapInArrow(
+        pack, "source_date string, archive string"
+    )

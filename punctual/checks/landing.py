@@ -15,7 +15,7 @@ from punctual.sources.sinks import replace_days, write_delay_events, write_table
 from punctual.sources.timetable import Timetable, read_silver_timetable
 
 DAY = "20260701"
-ARCHIVES_A_DAY = 8  # at least
+ARCHIVES_A_DAY = 8  # at least, of a day that has so few positions that they are dealt out
 ARCHIVE_ROWS = 75_000  # positions in one archive, beyond that
 
 
@@ -51,13 +51,12 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def archives(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
     """The positions packed as archives in the shared folder, by service date.
 
-    Their number follows the rows, so that neither an archive's directory nor the task that packs it grows with them.
+    Their number follows the rows, so that no archive's directory grows with them.
     """
 
     def write(path: str) -> None:
         rows = positions(spark, sf_dir)
-        parts = max(ARCHIVES_A_DAY, rows.count() // len(feeds.SERVICE_DATES) // ARCHIVE_ROWS)
-        feeds.as_archives(feeds.as_documents(rows), f"{path}/packed", parts).write.parquet(f"{path}/listed")
+        feeds.as_archives(rows, f"{path}/packed", ARCHIVES_A_DAY, ARCHIVE_ROWS).write.parquet(f"{path}/listed")
 
     listed = spark.read.parquet(f"{written_once(spark, sf_dir, 'archives', write)}/listed").collect()
     return {date: sorted(r.archive for r in listed if r.source_date == date) for date in {r.source_date for r in listed}}
