@@ -143,6 +143,34 @@ def test_texts_that_only_share_a_passage_are_no_crowd(documents, monkeypatch):
     assert [64 <= n <= 100 for n in searched] == [True]
 
 
+def test_passages_that_few_of_many_texts_share_bring_no_candidates(documents, monkeypatch):
+    """The order knows them from all texts; a sample of a large corpus doesn't meet them often enough."""
+    source = random.Random(9)
+    words = lambda n: [f"u{source.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for _ in range(8):
+        passage = words(90)
+        rows += [(len(rows) + i, " ".join(words(100) + passage + words(100))) for i in range(30)]
+    rows += [(1000 + i, f"{t} end") for i, t in rows[:20]]
+    # before: texts of a sample
+    monkeypatch.setattr(shingle_dedup, "SAMPLE", 20, raising=False)
+    asked = []
+    by_prefix = shingle_dedup._by_prefix
+    monkeypatch.setattr(shingle_dedup, "_by_prefix", lambda *a: (pairs := by_prefix(*a), asked.append(pairs.count()))[0])
+    assert sorted((False, r.doc_id) for r in shingle_dedup.keep_first(documents(rows)).collect()) == first_of_groups(rows)
+    # of 3,480 pairs that share a passage, each by many shingles
+    assert sum(asked) < 100
+
+
+def test_frequencies_are_never_too_small(documents):
+    texts = documents([(i, f"a b c d e f{i}") for i in range(40)] + [(99, None)]).selectExpr("coalesce(cast(text as binary), binary('')) text")
+    steps = shingle_dedup._frequencies(texts.repartition(3))
+    found = shingle_dedup.shingles(b"a b c d e f1", shingle_dedup._Names())
+    at = lambda x: steps[int(x) & (len(steps) - 1)]
+    assert sorted(at(x) for x in found) == [shingle_dedup._step(1), shingle_dedup._step(40)]
+    assert shingle_dedup._step(16) < shingle_dedup._step(40)
+
+
 def test_a_worker_lets_go_what_the_operator_before_kept():
     batch = pa.RecordBatch.from_pydict({"text": pa.array([b"one two three four five six"] * 3)})
     with_ids = pa.RecordBatch.from_pydict({"id": [1, 2, 3], "text": batch.column("text")})
